@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import canonical
 from ledgerloom.llm import encode as enc
 from ledgerloom.llm import mix as mixing
+from ledgerloom.llm import pii
 from ledgerloom.operators.joins import lookup_join
 from ledgerloom.sources.tables import table
 
@@ -55,6 +56,16 @@ def p7_shares(spark: SparkSession, root: str) -> DataFrame:
     return mixing.shares(p7_mix(spark, root), table(spark, root, "mix_targets"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_unmatched": p4_unmatched, "p6_ids": p6_ids, "p6_roundtrip": p6_roundtrip, "p7_mix": p7_mix, "p7_shares": p7_shares}
+def p8_found(spark: SparkSession, root: str) -> DataFrame:
+    """Every stretch of personal information, by document and kind."""
+    return pii.find(table(spark, root, "documents"))
+
+
+def p8_redacted(spark: SparkSession, root: str) -> DataFrame:
+    """The documents with typed placeholders."""
+    return pii.redact(table(spark, root, "documents"))
+
+
+QUERIES = {"p4_found": p4_found, "p4_unmatched": p4_unmatched, "p6_ids": p6_ids, "p6_roundtrip": p6_roundtrip, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_redacted": p8_redacted}
 
 ORACLES = {"p6_roundtrip": "select doc_id from documents where false"}
