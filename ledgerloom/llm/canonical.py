@@ -179,7 +179,7 @@ def match_values(values: DataFrame, reference: DataFrame, least: float = LEAST,
     right = listed.select(F.col("name").alias("r"), letter_pairs(F.col("name")).alias("tokens"))
     pairs = similarity_join(left, right, least).join(listed.withColumnRenamed("name", "r"), "r")
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def check(l: pd.Series, r: pd.Series) -> pd.Series:
         return pd.Series([aligned(a, b) for a, b in zip(l, r, strict=True)], dtype="float64")
 

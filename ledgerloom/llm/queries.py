@@ -7,12 +7,25 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import canonical
 from ledgerloom.llm import encode as enc
+from ledgerloom.llm import entity
 from ledgerloom.llm import mix as mixing
 from ledgerloom.llm import pii
 from ledgerloom.operators.joins import lookup_join
 from ledgerloom.sources.tables import table
 
 
+def p3_matches(spark: SparkSession, root: str) -> DataFrame:
+    """Each slip's member with the confidence of the match."""
+    left, right = table(spark, root, "member_slips"), table(spark, root, "constituencies")
+    found = entity.match(left, right, "slip_id", ("member", "constituency", "state"), "memberId", ("memberName", "constituency", "state"))
+    return found.select(F.col("left_id").alias("slip_id"), F.col("right_id").alias("member_id"), F.round("confidence", 6).alias("confidence"))
+
+
+def p3_found(spark: SparkSession, root: str) -> DataFrame:
+    """Each slip whose asker is in the roster, with the member."""
+    return p3_matches(spark, root).select("slip_id", "member_id").distinct()
+
+
 def _ministry_names(spark: SparkSession, root: str) -> DataFrame:
     return canonical.entries(table(spark, root, "ministries"), "ministry_id", {"canonical_name": 0, "former_names": 1})
 
@@ -66,6 +79,6 @@ def p8_redacted(spark: SparkSession, root: str) -> DataFrame:
     return pii.redact(table(spark, root, "documents"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_unmatched": p4_unmatched, "p6_ids": p6_ids, "p6_roundtrip": p6_roundtrip, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_redacted": p8_redacted}
+QUERIES = {"p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p6_ids": p6_ids, "p6_roundtrip": p6_roundtrip, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_redacted": p8_redacted}
 
 ORACLES = {"p6_roundtrip": "select doc_id from documents where false"}
