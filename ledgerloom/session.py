@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,3 +58,21 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """The package made known to the executors' Python workers, once a session: a zip in the shared folder."""
+    context = spark.sparkContext
+    if getattr(context, "_ledgerloom_shipped", False):
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent).as_posix())
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/ledgerloom-{uuid.uuid4().hex}.zip")
+    stream = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+    stream.write(bytearray(packed.getvalue()))
+    stream.close()
+    context.addPyFile(path.toString())
+    context._ledgerloom_shipped = True
