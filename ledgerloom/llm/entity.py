@@ -32,8 +32,12 @@ from ledgerloom.session import staged
 
 #: Most weakly labelled pairs the classifier is fitted on.
 SAMPLE = 40_000
-#: Name bands: how many, and hashes in each. Bands of one name hash and one seat hash.
-NAME_BANDS, NAME_ROWS, CROSS_BANDS = 16, 4, 8
+#: Name bands: how many, and hashes in each.
+NAME_BANDS, NAME_ROWS = 20, 5
+#: Bands of name and seat: how many, and hashes of each in one.
+CROSS_BANDS, CROSS_NAME, CROSS_SEAT = 24, 2, 3
+#: Least Jaccard similarity of two names' trigrams for their tokens to be paired off.
+LEAST_JACCARD = 0.25
 FEATURES = [
     "whole", "part", "weakest", "initials", "left_over", "seat", "seat_missing", "seat_differs", "state", "state_missing", "state_differs", "same_key",
 ]
@@ -75,27 +79,28 @@ def minhashes(df: DataFrame, pieces: Column, n: int, seed: int, out: str) -> Dat
 
 
 def candidates(left_names: DataFrame, right_names: DataFrame) -> DataFrame:
-    """Pairs (lk, rk) of name keys that share a name band; each side has key and tokens."""
+    """Pairs (l, r) of ids of names that share a name band; each side has id and tokens."""
 
     def banded(df: DataFrame, name: str) -> DataFrame:
         hashed = minhashes(df, names.grams(F.col("tokens")), NAME_BANDS * NAME_ROWS, 1, "h")
         h = F.col("h")
         bands = F.array(*[F.xxhash64(F.lit(b), *[h[b * NAME_ROWS + r] for r in range(NAME_ROWS)]) for b in range(NAME_BANDS)])
-        return hashed.select(F.col("key").alias(name), F.explode(bands).alias("band"))
+        return hashed.select(F.col("id").alias(name), F.explode(bands).alias("band"))
 
-    return banded(left_names, "lk").join(banded(right_names, "rk"), "band").select("lk", "rk").distinct()
+    return banded(left_names, "l").join(banded(right_names, "r"), "band").select("l", "r").distinct()
 
 
 def cross_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs (lk, rk) of name keys met in a band of one name hash and one seat hash; each side has key, tokens and seat."""
+    """Pairs (l, r) of ids of names met in a band of name hashes and seat hashes; each side has id, tokens and seat."""
 
     def banded(df: DataFrame, name: str) -> DataFrame:
-        both = minhashes(df.where("seat is not null"), names.grams(F.col("tokens")), CROSS_BANDS, 2, "n")
-        both = minhashes(both, names.grams(F.array(_glued(F.col("seat"))), 2), CROSS_BANDS, 3, "s")
-        bands = F.array(*[F.xxhash64(F.lit(100 + b), F.col("n")[b], F.col("s")[b]) for b in range(CROSS_BANDS)])
-        return both.select(F.col("key").alias(name), F.explode(bands).alias("band")).distinct()
+        both = minhashes(df.where("seat is not null"), names.grams(F.col("tokens")), CROSS_BANDS * CROSS_NAME, 2, "n")
+        both = minhashes(both, names.grams(F.array(_glued(F.col("seat")))), CROSS_BANDS * CROSS_SEAT, 3, "s")
+        parts = lambda b: [F.col("n")[b * CROSS_NAME + i] for i in range(CROSS_NAME)] + [F.col("s")[b * CROSS_SEAT + i] for i in range(CROSS_SEAT)]
+        bands = F.array(*[F.xxhash64(F.lit(b), *parts(b)) for b in range(CROSS_BANDS)])
+        return both.select(F.col("id").alias(name), F.explode(bands).alias("band")).distinct()
 
-    return banded(left, "lk").join(banded(right, "rk"), "band").select("lk", "rk").distinct()
+    return banded(left, "l").join(banded(right, "r"), "band").select("l", "r").distinct()
 
 
 NAME_FEATURES = T.StructType([T.StructField(n, T.DoubleType()) for n in ("whole", "part", "weakest", "initials", "left_over")])
@@ -232,11 +237,16 @@ def match(
 
     l_rows = staged(shaped(left, left_columns, left_id), "entity-left")
     r_rows = staged(shaped(right, right_columns, right_id).where("id is not null").distinct(), "entity-right")
-    l_names, r_names = (df.select("key", "tokens").distinct() for df in (l_rows, r_rows))
-    l_seats, r_seats = (df.select("key", "tokens", "seat").distinct() for df in (l_rows, r_rows))
-    pairs = candidates(l_names, r_names).unionByName(cross_candidates(l_seats, r_seats)).distinct()
-    pairs = pairs.join(l_names.select(F.col("key").alias("lk"), F.col("tokens").alias("lt")), "lk")
-    pairs = pairs.join(r_names.select(F.col("key").alias("rk"), F.col("tokens").alias("rt")), "rk")
+    # Names go by a number while candidates are sought: a pair is then 16 bytes.
+    numbered = lambda df, *more: df.select(F.xxhash64("key").alias("id"), "key", "tokens", *more).distinct()
+    l_names, r_names = (staged(numbered(df), "entity-names") for df in (l_rows, r_rows))
+    pairs = candidates(l_names, r_names).unionByName(cross_candidates(numbered(l_rows, "seat"), numbered(r_rows, "seat"))).distinct()
+    side = lambda df, i, k, t: df.select(F.col("id").alias(i), F.col("key").alias(k), F.col("tokens").alias(t))
+    pairs = pairs.join(side(l_names, "l", "lk", "lt"), "l").join(side(r_names, "r", "rk", "rt"), "r")
+    # A cheap look at the trigrams on the JVM before the tokens are paired off.
+    lg, rg = names.grams(F.col("lt")), names.grams(F.col("rt"))
+    pairs = pairs.withColumn("lg", lg).withColumn("rg", rg).withColumn("shared", F.size(F.array_intersect("lg", "rg")))
+    pairs = pairs.where(F.col("shared") >= LEAST_JACCARD * (F.size("lg") + F.size("rg") - F.col("shared"))).select("lk", "rk", "lt", "rt")
     # Every token of the shorter name must find a partner; what fails that is no writing of the same name.
     named = pairs.withColumn("f", _name_features("lt", "rt")).select("lk", "rk", "f.*")
     named = staged(named.where("part >= 0.55 and left_over <= 2 and weakest >= 0.55"), "entity-named")

@@ -2,14 +2,12 @@
 
 ``folded`` turns a written name into its tokens, given names first: honorifics and quoted nicknames go, a comma or a
 bracket swaps surname and given names, letters with marks become plain, digits typed for letters become letters, and
-spellings of one sound become one (ee/i, oo/u, aa/a, au/o, w/v, h after a consonant). Null and blank names fold to an
+spellings of one sound become one (ee/i, oo/u, aa/a, au/o, w/v, h within a word). Null and blank names fold to an
 empty list; letters outside Latin stay as they are.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,23 +25,28 @@ TITLES = (
 def sound(token: Column) -> Column:
     """One spelling for one sound."""
     t = F.translate(token, "w0135", "voies")
-    for pattern, plain in (("ee", "i"), ("oo", "u"), ("au", "o"), ("ou", "u"), (r"(?<=[bcdfgjklmnpqrstvxyz])h", ""), (r"(.)\1+", "$1")):
+    for pattern, plain in (("ee", "i"), ("oo", "u"), ("au", "o"), ("ou", "u"), (r"(?<=.)h", ""), (r"(.)\1+", "$1")):
         t = F.regexp_replace(t, pattern, plain)
     return t
 
 
-def folded(c: Column) -> Column:
-    """The tokens of a written name as compared, given names before the surname where the writing says which is which."""
+def written(c: Column) -> Column:
+    """The tokens of a written name, given names before the surname where the writing says which is which, not yet by sound."""
     s = F.regexp_replace(c, r"(?<![\p{L}])(\p{Lu})(\p{Lu})(?![\p{L}])", "$1 $2")  # initials written together
     s = F.translate(F.lower(s), MARKED, PLAIN)
     s = F.regexp_replace(s, r",?\s*\bm\. ?p\.?\s*$|[-\s]ji\s*$", "")
     s = F.regexp_replace(s, "[\"“”„«»][^\"“”„«»]*[\"“”„«»]", " ")
+    s = F.regexp_replace(s, r"\((?:retd|dr|prof|adv|mp)\.?\)", " ")
     s = F.regexp_replace(s, r"^\s*([^,(]+),\s*(.+)$", "$2 $1")
     s = F.regexp_replace(s, r"^\s*([^,(]+)\(\s*([^)]+)\)\s*$", "$2 $1")
     s = F.regexp_replace(s, r"(?<=\p{L})[-'’`](?=\p{L})", "")
     words = F.split(F.regexp_replace(s, r"[^\p{L}\p{M}\p{N}]+", " "), " ")
-    kept = F.filter(words, lambda w: (w != "") & ~w.isin(*TITLES))
-    return F.filter(F.transform(kept, sound), lambda w: w != "")
+    return F.filter(words, lambda w: (w != "") & ~w.isin(*TITLES))
+
+
+def folded(c: Column) -> Column:
+    """``written`` tokens, each by sound: as names are compared."""
+    return F.filter(F.transform(written(c), sound), lambda w: w != "")
 
 
 def key(tokens: Column) -> Column:
@@ -60,7 +63,6 @@ def grams(tokens: Column, n: int = 3) -> Column:
     return F.array_distinct(F.flatten(F.transform(marked, cut)))
 
 
-@lru_cache(maxsize=200_000)
 def edits(a: str, b: str) -> int:
     """Edits between two tokens, a swap of neighbours being one."""
     if a == b:

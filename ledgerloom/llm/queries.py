@@ -9,8 +9,9 @@ from ledgerloom.llm import canonical
 from ledgerloom.llm import encode as enc
 from ledgerloom.llm import entity
 from ledgerloom.llm import mix as mixing
-from ledgerloom.llm import pii
+from ledgerloom.llm import names, pii, variants
 from ledgerloom.operators.joins import lookup_join
+from ledgerloom.session import staged
 from ledgerloom.sources.tables import table
 
 
@@ -48,6 +49,27 @@ def p4_unmatched(spark: SparkSession, root: str) -> DataFrame:
     return _mapped(spark, root).where("entry is null").groupBy(F.col("value").alias("ministry")).agg(F.count(F.lit(1)).alias("records"))
 
 
+def _forms(spark: SparkSession, root: str) -> DataFrame:
+    asked = table(spark, root, "shared_ques_no").select(F.explode("member").alias("form"))
+    asserted = table(spark, root, "lok_sabha").select(F.col("name_as_written").alias("form"))
+    recorded = table(spark, root, "variants").select(F.explode("name_variants").alias("form"))
+    return asked.unionByName(asserted).unionByName(recorded)
+
+
+def p5_clusters(spark: SparkSession, root: str) -> DataFrame:
+    """Every written form with the number of the name it belongs to."""
+    return variants.cluster_forms(_forms(spark, root)).select("form", "cluster")
+
+
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    """Pairs of writings of one person; names that several roster members bear in full are left out."""
+    clusters = staged(variants.cluster_forms(_forms(spark, root)), "p5-clusters")
+    roster = table(spark, root, "constituencies").select("memberId", names.key(names.folded(F.col("memberName"))).alias("key"))
+    shared = roster.where("key <> ''").groupBy("key").agg(F.countDistinct("memberId").alias("n")).where("n > 1").select("key")
+    namesakes = clusters.join(shared, "key", "left_semi").select("cluster").distinct()
+    return variants.form_pairs(clusters.join(namesakes, "cluster", "left_anti")).distinct()
+
+
 def p6_ids(spark: SparkSession, root: str) -> DataFrame:
     """The ids of every document."""
     return enc.encode(table(spark, root, "documents"))
@@ -79,6 +101,6 @@ def p8_redacted(spark: SparkSession, root: str) -> DataFrame:
     return pii.redact(table(spark, root, "documents"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p6_ids": p6_ids, "p6_roundtrip": p6_roundtrip, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_redacted": p8_redacted}
+QUERIES = {"p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p4_unmatched": p4_unmatched, "p5_found": p5_found, "p5_clusters": p5_clusters, "p6_ids": p6_ids, "p6_roundtrip": p6_roundtrip, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_redacted": p8_redacted}
 
 ORACLES = {"p6_roundtrip": "select doc_id from documents where false"}
