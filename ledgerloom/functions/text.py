@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 
 # Honorific tokens dropped from names before comparison.
 HONORIFICS = (
-    "adv advocate capt col dr er gen hon honble kumari lt maj maulana mr mrs ms miss prof professor pt retd "
-    "sadhvi sardar shri shrimati shrimathi shrimatti sir smt sri srimati sushri swami thiru tmt km"
+    "shri shrimati shrimathi smt smti sri srimati dr doctor prof professor adv advocate kumari kum kunwar kunwari sardar shrimatiji "
+    "col colonel lt gen general capt captain maj major justice thiru thirumathi er mr mrs ms miss"
 ).split()
 
 # Words too common to be searched for.
 STOPWORDS = (
-    "and are been but can for from had has have her his how into its not off our out per than that the their them "
-    "then there these they this was were what when which who will with"
+    "a an and are as at be been by for from has have in into is it its of on or that the their there these this to was were will with not no any all"
 ).split()
 
 NOT_STATED = "not stated"
