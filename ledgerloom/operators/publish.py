@@ -1,7 +1,7 @@
 """Published files and snapshots.
 
-Writers go through Spark's own writers; a single file is never needed. Rows are clustered by partition key before a partitioned
-write, so each key has one file a task, and sorted within for repeatable output.
+Writers go through Spark's own writers; a single file is never needed. Rows are rebalanced by partition key before a partitioned
+write, so a key has one file unless it is very large, and sorted within for repeatable output.
 """
 
 from __future__ import annotations
@@ -78,8 +78,8 @@ def write_partitions(df: DataFrame, axis: str, path: str, order: str = "question
     if not key_collisions(rows, "__axis").isEmpty():
         raise PublishError(f"two values of {axis} have one partition key")
     keyed = rows.withColumn("part_key", partition_key(F.col("__axis"))).drop("__axis")
-    salted = keyed.repartition("part_key", F.pmod(F.xxhash64(order), F.lit(8)))
-    salted.sortWithinPartitions("part_key", order).write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("part_key").json(path)
+    # Adaptive execution puts small keys together and splits a key that is too large for one task.
+    keyed.hint("rebalance", "part_key").sortWithinPartitions("part_key", order).write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("part_key").json(path)
 
 
 def partition_counts(df: DataFrame, axis: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ledgerloom.functions.text import canon, canon_sorted, present, token_set
+from ledgerloom.session import staged
 
 #: Least similarity of the approximate tier, and the margin within which runners-up count.
 RATIO, MARGIN = 0.90, 0.02
@@ -139,13 +140,14 @@ def cascade(forms: DataFrame, pool: DataFrame, approximate: bool = True, contain
     may only turn a form that is not resolved into a resolved one.
     """
     none = F.array().cast("array<string>")
+    forms, pool = staged(forms, "resolve-forms"), staged(pool, "resolve-pool")  # read once, however many tiers look at them
     left, parts = forms, []
     for method, (form_key, pool_key) in zip(TIERS[:3], (("form", "written"), ("normalised", "normalised"), ("reordered", "reordered")), strict=True):
         hit = key_tier(left, pool, form_key, pool_key).select("scope", "form", "candidates", F.lit(method).alias("method"), F.lit(1.0).alias("score"))
         parts.append(hit)
         left = left.join(hit, ["scope", "form"], "left_anti")
     if approximate:
-        hit = approximate_tier(left, pool).select("scope", "form", "candidates", F.lit(TIERS[3]).alias("method"), "score")
+        hit = staged(approximate_tier(left, pool), "resolve-near").select("scope", "form", "candidates", F.lit(TIERS[3]).alias("method"), "score")
         parts.append(hit)
         left = left.join(hit, ["scope", "form"], "left_anti")
     parts.append(left.select("scope", "form", none.alias("candidates"), F.lit(None).cast("string").alias("method"), F.lit(0.0).alias("score")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("parliament",)
+MODULES = ("parliament", "published", "resolution", "rebuild")
 
 
 def _gather(attribute: str) -> dict:
