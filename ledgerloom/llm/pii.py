@@ -59,13 +59,12 @@ SLASHED = r"(?<![\w/])[A-Za-z]{2}/\d{2}(?:/\d{3})?/\d{6}(?![\w/])"
 NUMBER = regex.compile(rf"{SLASHED}|{TAX}|{CITIZEN}")
 #: What may stand between the announcing words and the number.
 GAP = regex.compile(r"[^\w\n]{0,3}(?:(?:no|number|num|card|is|संख्या|क्रमांक)\b[.:]?[^\w\n]{0,3}){0,2}", regex.I)
-STREETS = "Road|Street|Lane|Marg|Cross|Layout|Bazaar|Bazar|Chowk|Nagar|Colony|Path|Gali|Market|Avenue|Main|Extension|Enclave|Row|Square|Ghat|Quarter|Mohalla"
+STREETS = "Road|Street|Lane|Marg|Cross|Layout|Bazaar|Bazar|Chowk|Nagar|Colony|Path|Gali|Market|Avenue|Main|Extension|Enclave|Row|Square|Quarter|Mohalla"
 W = r"\p{Lu}[\p{L}'’-]*"
 NO = r"\d{1,4}(?:/\d{1,3})?(?:-?[A-Za-z])?(?![\w/])"
-DOORS = r"(?:House|Plot|Door|Flat|H\.)\s?(?:No\.?|Number)?"
 STATE = r"(?:Upper |Lower )?\p{Lu}[\p{L}]+(?: (?:and )?\p{Lu}[\p{L}]+)?"
-STREET = rf"(?:{W}[ ]){{1,3}}?(?:{STREETS})\b"
-TOWN = r"\p{Lu}[\p{L}-]+"
+STREET = rf"(?:{W}[ ]){{1,3}}?(?:{STREETS})\b(?! (?:{STREETS})\b)"
+TOWN = rf"(?!(?:{STREETS})\b)\p{{Lu}}[\p{{L}}-]+"
 PIN = r"\s?[-–]?\s?\d{6}(?!\d)"
 ADDRESS = regex.compile(
     rf"(?<![\w/.-])(?:Flat\s(?:No\.?\s?)?{NO},?\s+)?(?:(?:House|Plot|Door|H\.)\s?(?:No\.?|Number)?\s?)?{NO},?\s+{STREET}"
