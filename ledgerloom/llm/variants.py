@@ -36,10 +36,10 @@ TOKEN_COSINE, LINKAGE = 0.36, 0.5
 OWN_FORMS, OWN_SHARE = 3, 0.2
 
 
-def cosine_join(items: DataFrame, least: float = TOKEN_COSINE) -> DataFrame:
+def cosine_join(items: DataFrame, least: float = TOKEN_COSINE, edits: int | None = None) -> DataFrame:
     """Pairs (a, b), a <> b in both orders, of ``items`` (item) whose trigram vectors have cosine ``least`` or more.
 
-    Exact: vectors have inverse document frequency weights and unit length over the trigrams that occur in two items or more.
+    With ``edits``, only pairs at most so many edits apart; they are told before the costlier product. Exact: vectors have inverse document frequency weights and unit length over the trigrams that occur in two items or more.
     """
     listed = items.select("item", F.explode(names.grams(F.array("item"))).alias("gram"))
     df = listed.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -53,7 +53,12 @@ def cosine_join(items: DataFrame, least: float = TOKEN_COSINE) -> DataFrame:
     prefix = vectors.where(F.col("rest") >= least - 1e-9)
     a = prefix.select(F.col("item").alias("a"), "gram")
     b = prefix.select(F.col("item").alias("b"), "gram")
-    met = a.join(b, "gram").where("a < b").select("a", "b").distinct()
+    met = a.join(b, "gram").where("a < b")
+    if edits is not None:
+        met = met.where(F.abs(F.length("a") - F.length("b")) <= edits)
+    met = met.select("a", "b").distinct()
+    if edits is not None:
+        met = met.where(F.levenshtein("a", "b", edits) >= 0)
     packed = vectors.groupBy("item").agg(F.map_from_entries(F.collect_list(F.struct("gram", "w"))).alias("v"))
     both = met.join(packed.select(F.col("item").alias("a"), F.col("v").alias("va")), "a").join(packed.select(F.col("item").alias("b"), F.col("v").alias("vb")), "b")
     dot = F.aggregate(F.map_entries("va"), F.lit(0.0), lambda s, e: s + e["value"] * F.coalesce(F.try_element_at(F.col("vb"), e["key"]), F.lit(0.0)))
@@ -191,9 +196,9 @@ def cluster_forms(forms: DataFrame) -> DataFrame:
     keys = staged(keys, "variants-keys")
     spellings = folded.select("n", F.explode(F.arrays_zip("tokens", "written")).alias("z")).groupBy(F.col("z.tokens").alias("token"), F.col("z.written").alias("raw")).agg(F.sum("n").alias("n"))
     spellings = staged(spellings, "variants-spellings")
-    near = cosine_join(staged(spellings.where(F.length("raw") > 2).select(F.col("raw").alias("item")).distinct(), "variants-items"))
+    near = cosine_join(staged(spellings.where(F.length("raw") > 2).select(F.col("raw").alias("item")).distinct(), "variants-items"), edits=2)
     sounds = lambda c, t: spellings.select(F.col("raw").alias(c), F.col("token").alias(t)).distinct()
-    close = near.where(F.levenshtein("a", "b") <= 3).join(sounds("a", "ta"), "a").join(sounds("b", "tb"), "b").where("ta <> tb")
+    close = near.join(sounds("a", "ta"), "a").join(sounds("b", "tb"), "b").where("ta <> tb")
     near_tokens = staged(close.select(F.col("ta").alias("a"), F.col("tb").alias("b")).distinct(), "variants-near")
     pairs = candidate_keys(keys, near_tokens)
     common = spellings.groupBy("token").agg(F.max_by("raw", F.struct("n", "raw")).alias("raw"))
