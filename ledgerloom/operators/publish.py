@@ -1,6 +1,6 @@
 """Published files and snapshots.
 
-Writers go through Spark's own writers; a single file is never needed. Rows are rebalanced by partition key before a partitioned
+Writers go through Spark's own writers; a single file is never needed. Rows are gathered by partition key before a partitioned
 write, so a key has one file unless it is very large, and sorted within for repeatable output.
 """
 
@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.text import partition_key
+from ledgerloom.operators.joins import lookup_join
 
 # Options under which the CSV files read back as they were written.
 CSV = {"header": "true", "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "nullValue": ""}
+#: Rows a partition file holds about; a key with more has several files, written by several tasks.
+FILE_ROWS = 1_000_000
 #: Keys of the manifest a caller cannot override.
 PROTECTED = ("licence", "attribution")
 
@@ -78,8 +81,13 @@ def write_partitions(df: DataFrame, axis: str, path: str, order: str = "question
     if not key_collisions(rows, "__axis").isEmpty():
         raise PublishError(f"two values of {axis} have one partition key")
     keyed = rows.withColumn("part_key", partition_key(F.col("__axis"))).drop("__axis")
-    # Adaptive execution puts small keys together and splits a key that is too large for one task.
-    keyed.hint("rebalance", "part_key").sortWithinPartitions("part_key", order).write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("part_key").json(path)
+    large = keyed.groupBy("part_key").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > FILE_ROWS)
+    pieces = F.coalesce(F.ceil(F.col("__n") / FILE_ROWS), F.lit(1))
+    placed = lookup_join(keyed, large, ["part_key"]).withColumn("__piece", F.pmod(F.xxhash64(order), pieces)).drop("__n")
+    # A number of tasks of its own: adaptive execution would give thousands of small files to one task.
+    tasks = max(2 * df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spread = placed.repartition(tasks, "part_key", "__piece").drop("__piece")
+    spread.select(*df.columns, "part_key").sortWithinPartitions("part_key", order).write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("part_key").json(path)
 
 
 def partition_counts(df: DataFrame, axis: str) -> DataFrame:
