@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerloom.functions.text import present
 from ledgerloom.operators.joins import lookup_join
@@ -36,6 +37,8 @@ from ledgerloom.session import staged
 
 REFERENCE = ["source_table", "period", "row_key", "ref_field", "target", "ref_value", "at"]
 KEY = ["target", "ref_value"]
+#: What stands for no start and for no end.
+FIRST, LAST = "0001-01-01 00:00:00", "9999-12-31 00:00:00"
 
 
 def key_of(c: Column) -> Column:
@@ -70,16 +73,28 @@ def parent_rows(df: DataFrame, target: str, key: Column, start: Column, end: Col
 
 
 def index(rows: DataFrame) -> DataFrame:
-    """The probe index: per key the distinct spans of its rows."""
-    return rows.groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    """The probe index: per key the spans in which any of its rows stands, overlapping and touching ones joined.
+
+    The earliest start of a key is always that of its first span, so a probe can still tell late from deleted. A key with very many
+    rows is sorted and streamed; what is kept of it are its separate spans.
+    """
+    begin = F.coalesce("start", F.lit(FIRST).cast("timestamp_ntz"))
+    finish = F.coalesce("end", F.lit(LAST).cast("timestamp_ntz"))
+    plain = rows.select(*KEY, begin.alias("s"), finish.alias("e")).distinct()
+    order = Window.partitionBy(*KEY).orderBy("s", "e")
+    before = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = plain.withColumn("fresh", F.coalesce(F.col("s") > before, F.lit(True)).cast("int"))
+    islands = fresh.withColumn("island", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = islands.groupBy(*KEY, "island").agg(F.min("s").alias("start"), F.max("e").alias("end"))
+    return joined.groupBy(*KEY).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def probe(refs: DataFrame, parents: DataFrame) -> DataFrame:
     """``refs`` with ``kind``: null where a row stands at the reference's time, else missing, late or deleted."""
     found = lookup_join(refs, parents.select(*KEY, "spans"), KEY)
     at = F.col("at")
-    begun = lambda s: s["start"].isNull() | (s["start"] <= at)
-    stands = F.exists("spans", lambda s: begun(s) & (s["end"].isNull() | (s["end"] > at)))
+    begun = lambda s: s["start"] <= at
+    stands = F.exists("spans", lambda s: begun(s) & (s["end"] > at))
     kind = (
         F.when(F.col("spans").isNull(), "missing")
         .when(at.isNull() | stands, None)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import io
-import os
 import pathlib
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -30,14 +31,20 @@ def build_session(app: str = "ledgerloom", master: str | None = None, **conf: st
     return builder.config(map=settings).getOrCreate()
 
 
+_OWN: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests, a laptop) a local folder takes its place.
+    Only where the setting is absent (tests, a laptop) a local folder takes its place, for as long as the process lives.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
-        folder = os.path.join(tempfile.gettempdir(), f"ledgerloom-{os.getuid()}")
+        if not _OWN:
+            _OWN.append(tempfile.mkdtemp(prefix="ledgerloom-"))
+            atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
+        folder = f"file://{_OWN[0]}"
     return folder
 
 

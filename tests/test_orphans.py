@@ -57,6 +57,13 @@ def test_null_start_always_stands(spark):
     assert kinds(orphans.advance(None, refs(spark, ("1", "a", -50)), parents(spark, ("a", None, None)))) == {}
 
 
+def test_spans_are_joined_and_gaps_kept(spark):
+    rows = parents(spark, ("a", 1, 4), ("a", 2, 3), ("a", 4, 6), ("a", 9, 9), ("a", 12, 13), ("a", 12, 14))
+    assert [len(r.spans) for r in orphans.index(rows).collect()] == [3]
+    got = kinds(orphans.advance(None, refs(spark, *[(str(i), "a", i) for i in range(16)]), rows))
+    assert got == {"0": "late"} | {str(i): "deleted" for i in (6, 7, 8, 9, 10, 11, 14, 15)}
+
+
 def test_increments_equal_one_batch(spark):
     rnd = random.Random(7)
     rr = [(str(i), rnd.choice("abcdef"), rnd.randint(0, 30)) for i in range(120)]
