@@ -4,8 +4,9 @@
    tokens written together is parted.
 2. Distinct tokens, as written, become TF-IDF vectors of letter trigrams. A sparse cosine join finds all pairs from ``TOKEN_COSINE`` on:
    trigrams are ordered by rarity, and only the prefix that any partner must share is joined (the rest of the vector has
-   too little length to reach the threshold alone), so no list of candidates is cut off.
-3. Two keys are compared if they share two tokens, or one and a cosine neighbour of another; a key with initials, if it
+   too little length to reach the threshold alone), so no list of candidates is cut off. What one edit leaves of a short token
+   may lie below any useful cosine, so tokens one edit apart are joined exactly besides, by what is left of them without one letter.
+3. Two keys are compared if they share two tokens, or one and a neighbour of another; a key with initials, if it
    shares a token and an initial. The rarer token leads, so that pairs which have only common tokens in common never meet.
 4. Keys with the same number of full tokens, all pairing off, are linked; links are clustered by average linkage, each
    writing weighted by how often it occurs. The clustering is distributed: in every round all clusters that are each other's
@@ -66,6 +67,27 @@ def cosine_join(items: DataFrame, least: float = TOKEN_COSINE, edits: int | None
     return near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine"))
 
 
+def edit_join(items: DataFrame) -> DataFrame:
+    """Pairs (a, b), a <> b in both orders, of ``items`` (item, word) with words one edit apart, a swap of neighbours being one.
+
+    Exact: such words, and no others but some two edits apart, have a writing in common when nothing or one letter is left out.
+    """
+    length = F.length("word")
+    out = F.transform(F.sequence(F.lit(1), length), lambda i: F.concat(F.substring("word", F.lit(1), i - 1), F.substring("word", i + 1, length)))
+    left = items.where(length > 0).select("item", "word", F.explode(F.array_distinct(F.concat(F.array("word"), out))).alias("left"))
+    a = left.select(F.col("item").alias("a"), F.col("word").alias("x"), "left")
+    b = left.select(F.col("item").alias("b"), F.col("word").alias("y"), "left")
+    met = a.join(b, "left").where("a < b").select("a", "b", "x", "y").distinct()
+    # Two edits on words of one length are a swap if the words are equal but for two neighbouring letters.
+    at = lambda c, i: F.substring(c, i, F.lit(1))
+    same = lambda i: at(F.col("x"), i) == at(F.col("y"), i)
+    differ = F.filter(F.sequence(F.lit(1), F.length("x")), lambda i: ~same(i))
+    i, j = F.get(differ, F.lit(0)), F.get(differ, F.lit(1))
+    swap = (F.length("x") == F.length("y")) & (F.size(differ) == 2) & (j == i + 1) & (at(F.col("x"), i) == at(F.col("y"), j)) & (at(F.col("x"), j) == at(F.col("y"), i))
+    near = met.where((F.levenshtein("x", "y", 1) >= 0) | swap).select("a", "b").distinct()
+    return near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
 def part_tokens(keys: DataFrame) -> DataFrame:
     """``keys`` (tokens, mentions) with tokens that are two frequent tokens written together parted."""
     token = keys.select(F.explode("tokens").alias("token"), "mentions").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
@@ -199,9 +221,12 @@ def cluster_forms(forms: DataFrame) -> DataFrame:
     near = cosine_join(staged(spellings.where(F.length("raw") > 2).select(F.col("raw").alias("item")).distinct(), "variants-items"), edits=2)
     sounds = lambda c, t: spellings.select(F.col("raw").alias(c), F.col("token").alias(t)).distinct()
     close = near.join(sounds("a", "ta"), "a").join(sounds("b", "tb"), "b").where("ta <> tb")
-    near_tokens = staged(close.select(F.col("ta").alias("a"), F.col("tb").alias("b")).distinct(), "variants-near")
+    common = staged(spellings.groupBy("token").agg(F.max_by("raw", F.struct("n", "raw")).alias("raw")), "variants-common")
+    # As ``slip`` compares them: the tokens by sound, and as they are mostly written.
+    words = lambda c: edit_join(common.where(F.length("token") > 2).select(F.col("token").alias("item"), F.col(c).alias("word")))
+    close = close.select(F.col("ta").alias("a"), F.col("tb").alias("b")).unionByName(words("token")).unionByName(words("raw"))
+    near_tokens = staged(close.distinct(), "variants-near")
     pairs = candidate_keys(keys, near_tokens)
-    common = spellings.groupBy("token").agg(F.max_by("raw", F.struct("n", "raw")).alias("raw"))
     counts = keys.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     placed = keys.select("id", F.explode("tokens").alias("token")).join(counts, "token").join(common, "token", "left")
     told = F.struct(F.col("token").alias("t"), F.coalesce("raw", "token").alias("raw"), "n")

@@ -127,6 +127,32 @@ def test_cosine_join_equals_all_pairs(spark):
     assert {(r.a, r.b) for r in variants.cosine_join(items, 0.4).collect()} == want and want
 
 
+def test_edit_join_equals_all_pairs(spark):
+    rnd = random.Random(3)
+    words = sorted({"".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 6))) for _ in range(120)})
+    items = spark.createDataFrame([(w, w) for w in words], "item string, word string")
+    want = {(a, b) for a in words for b in words if a != b and names.edits(a, b) == 1}
+    assert {(r.a, r.b) for r in variants.edit_join(items).collect()} == want and want
+
+
+def test_variants_link_one_edit_in_a_short_token(spark):
+    rnd = random.Random(5)
+    syllable = lambda: rnd.choice("bdgjklmnprtz") + rnd.choice("aeiou")
+    given = sorted({"".join(syllable() for _ in range(2)) + rnd.choice(["", "n", "ra"]) for _ in range(60)})
+    rows, slips, used = [], [], set(given)
+    for i in range(200):
+        g, s = rnd.choice(given), "".join(syllable() for _ in range(3)) + "bcdfgjklmnpr"[i % 12] + "aeiou"[i // 12 % 5] + "kmt"[i // 60 % 3] + "z" * (i >= 180)
+        at = rnd.randint(1, len(g) - 2)
+        typo = rnd.choice([g[:at] + g[at + 1] + g[at] + g[at + 2 :], g[:at] + rnd.choice([x for x in "lmnrt" if x != g[at]]) + g[at + 1 :]])
+        if typo in used:  # twice the same would be a name of its own
+            continue
+        used.add(typo)
+        rows += [(f"{g} {s}".title(),)] * 9 + [(f"{typo} {s}".title(),)]
+        slips.append((rows[-2][0], rows[-1][0]))
+    of = {r.form: r.cluster for r in variants.cluster_forms(spark.createDataFrame(rows, "form string")).collect()}
+    assert [(a, b) for a, b in slips if of[a] != of[b]] == []
+
+
 def test_average_linkage_equals_one_merge_at_a_time(spark):
     rnd = random.Random(8)
     n = 30
