@@ -56,16 +56,20 @@ def _forms(spark: SparkSession, root: str) -> DataFrame:
     return asked.unionByName(asserted).unionByName(recorded)
 
 
+def _roster(spark: SparkSession, root: str) -> DataFrame:
+    return table(spark, root, "constituencies").select("memberId", names.key(names.folded(F.col("memberName"))).alias("key")).where("key <> ''")
+
+
 def p5_clusters(spark: SparkSession, root: str) -> DataFrame:
     """Every written form with the number of the name it belongs to."""
-    return variants.cluster_forms(_forms(spark, root)).select("form", "cluster")
+    return variants.cluster_forms(_forms(spark, root), _roster(spark, root)).select("form", "cluster")
 
 
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
     """Pairs of writings of one person; names that several roster members bear in full are left out."""
-    clusters = staged(variants.cluster_forms(_forms(spark, root)), "p5-clusters")
-    roster = table(spark, root, "constituencies").select("memberId", names.key(names.folded(F.col("memberName"))).alias("key"))
-    shared = roster.where("key <> ''").groupBy("key").agg(F.countDistinct("memberId").alias("n")).where("n > 1").select("key")
+    roster = _roster(spark, root)
+    clusters = staged(variants.cluster_forms(_forms(spark, root), roster), "p5-clusters")
+    shared = roster.groupBy("key").agg(F.countDistinct("memberId").alias("n")).where("n > 1").select("key")
     namesakes = clusters.join(shared, "key", "left_semi").select("cluster").distinct()
     return variants.form_pairs(clusters.join(namesakes, "cluster", "left_anti")).distinct()
 

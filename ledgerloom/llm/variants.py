@@ -11,7 +11,8 @@
 4. Keys with the same number of full tokens, all pairing off, are linked; links are clustered by average linkage, each
    writing weighted by how often it occurs. The clustering is distributed: in every round all clusters that are each other's
    nearest merge, which gives the average-linkage result because that linkage is reducible.
-5. A key that says less (initials, a missing middle name) joins the cluster it fits if it fits only one.
+5. A key that says less (initials, a missing middle name) joins the cluster it fits if it fits only one and is not, without
+   initials, a name the caller knows to be someone's own (``known``). How often it is written does not count.
 
 Edge cases. Null and blank forms, and those with titles alone, are no writings of anyone. Repeated forms count as
 occurrences. Forms that fold alike but stand for namesakes cannot be told apart here; the caller may name such keys. Very
@@ -32,9 +33,6 @@ from ledgerloom.session import staged
 
 #: Least cosine of two tokens' trigram vectors, and least average similarity of two clusters that merge.
 TOKEN_COSINE, LINKAGE = 0.36, 0.5
-#: A writing without a middle name is taken for a person of its own if it comes in this many forms and is as frequent as this
-#: share of the cluster it fits.
-OWN_FORMS, OWN_SHARE = 3, 0.2
 
 
 def cosine_join(items: DataFrame, least: float = TOKEN_COSINE, edits: int | None = None) -> DataFrame:
@@ -206,8 +204,11 @@ def average_linkage(nodes: DataFrame, links: DataFrame, least: float = LINKAGE)
         edges = staged(ordered.groupBy("a", "b").agg(F.sum("sum").alias("sum")), "linkage-edges")
 
 
-def cluster_forms(forms: DataFrame) -> DataFrame:
-    """form, key and cluster of every distinct form of ``forms`` (form); cluster is a number shared by writings of one name."""
+def cluster_forms(forms: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """form, key and cluster of every distinct form of ``forms`` (form); cluster is a number shared by writings of one name.
+
+    ``known`` (key) has the keys of full names, as in a roster: a writing that is one of them is no shorter writing of another.
+    """
     counted = forms.where(present(F.col("form")).isNotNull()).groupBy("form").agg(F.count(F.lit(1)).alias("n"))
     spelt = counted.withColumn("written", names.written(F.col("form"))).withColumn("tokens", F.transform("written", names.sound))
     folded = staged(spelt.where("size(tokens) > 0 and not array_contains(tokens, '')"), "variants-folded")
@@ -236,28 +237,26 @@ def cluster_forms(forms: DataFrame) -> DataFrame:
     judged = staged(judged.select("a", "b", "f.likeness", "f.kind").where("kind is not null"), "variants-judged")
     links = judged.where("kind = 'full' and a < b").select("a", "b", "likeness")
     label = staged(average_linkage(keys.select(F.col("id").alias("node"), F.col("mentions").alias("weight")), links), "variants-label")
-    said = staged(_attach(keys, label, judged.where("kind = 'less'")), "variants-attached")
+    own = parted.select("raw_key", F.xxhash64("key").alias("node"))
+    own = own.limit(0) if known is None else own.join(known.select(F.col("key").alias("raw_key")).distinct(), "raw_key", "left_semi")
+    said = staged(_attach(keys, label, judged.where("kind = 'less'"), own.select("node").distinct()), "variants-attached")
     by_key = parted.select("raw_key", F.col("key").alias("key"), F.xxhash64("key").alias("node")).join(said, "node")
     return folded.withColumn("raw_key", names.key(F.col("tokens"))).join(by_key, "raw_key").select("form", "key", "cluster")
 
 
-def _attach(keys: DataFrame, label: DataFrame, less: DataFrame) -> DataFrame:
-    """``label`` with the clusters of keys that say less joined to the one cluster they fit."""
+def _attach(keys: DataFrame, label: DataFrame, less: DataFrame, own: DataFrame) -> DataFrame:
+    """``label`` with the clusters of keys that say less joined to the one cluster they fit; those with a node of ``own`` stay."""
     at = lambda c, name: label.select(F.col("node").alias(c), F.col("cluster").alias(name))
-    sizes = label.join(keys.select(F.col("id").alias("node"), "mentions", "forms"), "node")
-    sizes = sizes.groupBy("cluster").agg(F.sum("mentions").alias("mentions"), F.max("forms").alias("forms"))
-    whole = lambda c, name: sizes.select(F.col("cluster").alias(c), F.struct("mentions", "forms").alias(name))
     fits = less.join(at("a", "from"), "a").join(at("b", "to"), "b").where(F.col("from") != F.col("to"))
     initials = keys.select(F.col("id").alias("a"), F.exists("tokens", lambda t: F.length(t) == 1).alias("initials"))
-    options = fits.join(initials, "a").groupBy("from", "to").agg(F.max("likeness").alias("likeness"), F.bool_and("initials").alias("initials"))
-    options = options.join(whole("from", "mine"), "from").join(whole("to", "theirs"), "to")
+    options = fits.join(initials, "a").groupBy("from", "to").agg(F.bool_and("initials").alias("initials"))
     # Among clusters that it fits, those that themselves say less than another of them do not count as rivals.
     inner = options.select("from", F.col("to").alias("x")).join(options.select(F.col("from").alias("x"), F.col("to").alias("y")), "x")
     covered = inner.join(options.select("from", F.col("to").alias("y")), ["from", "y"]).select("from", F.col("x").alias("to")).distinct()
     top = options.join(covered, ["from", "to"], "left_anti")
-    one = top.groupBy("from").agg(F.bool_and("initials").alias("initials"), F.count(F.lit(1)).alias("n"), F.first("to").alias("to"), F.first("mine").alias("mine"), F.first("theirs").alias("theirs"))
-    own = (F.col("mine.forms") >= OWN_FORMS) & (F.col("mine.mentions") >= OWN_SHARE * F.col("theirs.mentions"))
-    chosen = one.where((F.col("n") == 1) & (F.col("initials") | ~own)).select("from", "to")
+    one = top.groupBy("from").agg(F.bool_and("initials").alias("initials"), F.count(F.lit(1)).alias("n"), F.first("to").alias("to"))
+    stays = label.join(own, "node", "left_semi").select(F.col("cluster").alias("from"), F.lit(True).alias("stays")).distinct()
+    chosen = one.join(stays, "from", "left").where((F.col("n") == 1) & (F.col("initials") | F.col("stays").isNull())).select("from", "to")
     # A cluster that is joined to cannot itself move: its own target takes its place.
     first = chosen.select(F.col("from").alias("c"), F.col("to").alias("into"))
     twice = first.join(first.select(F.col("c").alias("into"), F.col("into").alias("last")), "into", "left").select("c", F.coalesce("last", "into").alias("into"))

@@ -153,6 +153,14 @@ def test_variants_link_one_edit_in_a_short_token(spark):
     assert [(a, b) for a, b in slips if of[a] != of[b]] == []
 
 
+def test_short_writings_join_by_the_roster_not_by_their_number(spark):
+    long, short = ["Nolel Wani Hogatek", "Tono Velu Bevozir"], ["Nolel Hogatek", "NOLEL HOGATEK", 'Nolel "Nolly" Hogatek', "Shri Nolel Hogatek"]
+    df = spark.createDataFrame([(f,) for f in long * 2 + short * 5 + ["Tono Bevozir"]], "form string")
+    known = spark.createDataFrame([("hogatek nolel vani",), ("bevozir tono velu",), ("bevozir tono",)], "key string")
+    of = {r.form: r.cluster for r in variants.cluster_forms(df, known).collect()}
+    assert {of[f] for f in short} == {of[long[0]]} and of["Tono Bevozir"] != of[long[1]]
+
+
 def test_average_linkage_equals_one_merge_at_a_time(spark):
     rnd = random.Random(8)
     n = 30
