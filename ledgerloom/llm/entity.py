@@ -3,7 +3,8 @@
 1. Distinct values only: names, (name, seat) pairs and (name, seat, state) triples of the left side; names and rows of the
    right side. Repeats come back at the end by ``lookup_join``.
 2. Candidates by MinHash over letter pieces: bands of the name alone, and bands that join one hash of the name with one
-   of the seat, so that a name cut to initials still meets its seat. Every band bucket is used whole.
+   of the seat, so that a name cut to initials still meets its seat. Every band bucket is used whole. Besides, exact joins find what
+   bands may miss: names with two tokens in common, one of them perhaps with one edit, or with a token and an initial.
 3. Pairwise similarities: token pairing of the names, edit likeness of seat and state, indicators for what is missing.
 4. A logistic classifier, fitted on a bounded sample of weakly labelled pairs (``SAMPLE`` rows): see ``weak_labels``; copies with
    blanked attributes teach it what a missing one is worth. Held-out pairs calibrate the score by Platt's method.
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ledgerloom.functions.text import present
-from ledgerloom.llm import names
+from ledgerloom.llm import names, variants
 from ledgerloom.operators.joins import lookup_join
 from ledgerloom.session import staged
 
@@ -103,6 +104,40 @@ def cross_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     return banded(left, "l").join(banded(right, "r"), "band").select("l", "r").distinct()
 
 
+def token_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs (l, r) of ids of names, found exactly, that need no seat to meet; each side has id and tokens.
+
+    They share two tokens, of which one may be one edit off and one is the rarest of either name; or a token, perhaps one edit off, and
+    an initial of the left name; or the only token of the left name.
+    """
+    spread = lambda df: staged(df.select("id", F.size(F.array_distinct("tokens")).alias("size"), F.explode(F.array_distinct("tokens")).alias("t")), "entity-tokens")
+    lt, rt = spread(left), spread(right)
+    full = lambda df: df.where(F.length("t") > 1).select("id", "size", "t")
+    df = full(rt).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+    words = full(lt).select("t").unionByName(full(rt).select("t")).distinct()
+    near = variants.edit_join(words.where(F.length("t") > 2).select(F.col("t").alias("item"), F.col("t").alias("word"))).select(F.col("a").alias("t"), F.col("b").alias("y"), F.lit(1).alias("edits"))
+    near = near.unionByName(words.select("t", F.col("t").alias("y"), F.lit(0).alias("edits"))).join(df.withColumnRenamed("t", "y"), "y")
+    # Left tokens as they occur on the right.
+    seen = staged(full(lt).join(near, "t"), "entity-seen")
+    pair = lambda x, y: F.concat_ws(" ", F.least(x, y), F.greatest(x, y))
+    other = lambda df, *c: df.select("id", *[F.col(x).alias(f"o_{x}") for x in c])
+    looked = seen.join(other(seen, "t", "y", "edits", "df"), "id").where("t < o_t and y <> o_y and edits + o_edits <= 1")
+    # The rarer token of each left pair that leads is the rarest that the name has on the right, as it is or one edit off.
+    rarest = seen.groupBy("id").agg(F.min("df").alias("least"))
+    looked = looked.join(rarest, "id").select(F.col("id").alias("l"), pair("y", "o_y").alias("pair"), (F.least("df", "o_df") <= F.col("least")).alias("l_lead"))
+    looked = looked.groupBy("l", "pair").agg(F.max("l_lead").alias("l_lead"))
+    offered = full(rt).join(df, "t")
+    lead = offered.groupBy("id").agg(F.min_by("t", F.struct("df", "t")).alias("lead"))
+    offered = offered.join(other(offered, "t"), "id").where("t < o_t").join(lead, "id")
+    offered = offered.select(F.col("id").alias("r"), pair("t", "o_t").alias("pair"), ((F.col("t") == F.col("lead")) | (F.col("o_t") == F.col("lead"))).alias("r_lead"))
+    twos = looked.join(offered, "pair").where("l_lead or r_lead").select("l", "r")
+    letters = lt.where(F.length("t") == 1).select("id", F.col("t").alias("letter")).join(seen, "id").select(F.col("id").alias("l"), "y", "letter")
+    named = full(rt).join(other(rt, "t"), "id").where("t <> o_t").select(F.col("id").alias("r"), F.col("t").alias("y"), F.substring("o_t", 1, 1).alias("letter"))
+    initials = letters.distinct().join(named.distinct(), ["y", "letter"]).select("l", "r")
+    alone = seen.where("size = 1").select(F.col("id").alias("l"), "y").join(full(rt).select(F.col("id").alias("r"), F.col("t").alias("y")), "y").select("l", "r")
+    return twos.unionByName(initials).unionByName(alone).distinct()
+
+
 NAME_FEATURES = T.StructType([T.StructField(n, T.DoubleType()) for n in ("whole", "part", "weakest", "initials", "left_over")])
 
 
@@ -240,13 +275,14 @@ def match(
     # Names go by a number while candidates are sought: a pair is then 16 bytes.
     numbered = lambda df, *more: df.select(F.xxhash64("key").alias("id"), "key", "tokens", *more).distinct()
     l_names, r_names = (staged(numbered(df), "entity-names") for df in (l_rows, r_rows))
-    pairs = candidates(l_names, r_names).unionByName(cross_candidates(numbered(l_rows, "seat"), numbered(r_rows, "seat"))).distinct()
+    banded = candidates(l_names, r_names).unionByName(cross_candidates(numbered(l_rows, "seat"), numbered(r_rows, "seat"))).withColumn("exact", F.lit(False))
+    pairs = banded.unionByName(token_candidates(l_names, r_names).withColumn("exact", F.lit(True))).groupBy("l", "r").agg(F.max("exact").alias("exact"))
     side = lambda df, i, k, t: df.select(F.col("id").alias(i), F.col("key").alias(k), F.col("tokens").alias(t))
     pairs = pairs.join(side(l_names, "l", "lk", "lt"), "l").join(side(r_names, "r", "rk", "rt"), "r")
-    # A cheap look at the trigrams on the JVM before the tokens are paired off.
+    # A cheap look at the trigrams on the JVM before the tokens are paired off; initials have few, so it is for the bands' pairs only.
     lg, rg = names.grams(F.col("lt")), names.grams(F.col("rt"))
     pairs = pairs.withColumn("lg", lg).withColumn("rg", rg).withColumn("shared", F.size(F.array_intersect("lg", "rg")))
-    pairs = pairs.where(F.col("shared") >= LEAST_JACCARD * (F.size("lg") + F.size("rg") - F.col("shared"))).select("lk", "rk", "lt", "rt")
+    pairs = pairs.where(F.col("exact") | (F.col("shared") >= LEAST_JACCARD * (F.size("lg") + F.size("rg") - F.col("shared")))).select("lk", "rk", "lt", "rt")
     # Every token of the shorter name must find a partner; what fails that is no writing of the same name.
     named = pairs.withColumn("f", _name_features("lt", "rt")).select("lk", "rk", "f.*")
     named = staged(named.where("part >= 0.55 and left_over <= 2 and weakest >= 0.55"), "entity-named")

@@ -95,6 +95,18 @@ def test_matching_finds_planted_members(spark):
     assert entity.match(left, right.limit(0), "slip", ("who", "seat", "state"), "id", ("name", "seat", "state")).count() == 0
 
 
+def test_exact_candidates_need_no_seat(spark):
+    roster = [(1, "kesharimal rajendra lal"), (2, "suka muke rehoberd"), (3, "suka bano rehoberd"), (4, "tono velu bevozir"), (5, "mira bano lal")]
+    slips = [(1, "k r lal"), (2, "s m rehoberd"), (3, "suka rehobred"), (4, "tono bevozir"), (5, "tono velu bevozri"), (6, "kesharimal"), (7, "x y zz"), (8, "m rehobred")]
+    side = lambda rows: spark.createDataFrame([(i, n.split()) for i, n in rows], "id bigint, tokens array<string>")
+    got = {(r.l, r.r) for r in entity.token_candidates(side(slips), side(roster)).collect()}
+    assert got == {(1, 1), (2, 2), (2, 3), (3, 2), (3, 3), (4, 4), (5, 4), (6, 1), (8, 2)}
+    rows = spark.createDataFrame([("m1", "Kesharimal Rajendra Lal", "Bano", "Belmoria"), ("m2", "Mira Bano Lal", "Tira", "Chandovar")], "id string, name string, seat string, state string")
+    asked = spark.createDataFrame([(1, "K R Lal", None, "Belmoria"), (2, "Mira Bano Lal", "Tira", "Chandovar")], "slip int, who string, seat string, state string")
+    compared = entity.match(asked, rows, "slip", ("who", "seat", "state"), "id", ("name", "seat", "state"), least=0.0).collect()
+    assert (1, "m1") in {(r.left_id, r.right_id) for r in compared}
+
+
 def test_classifier_is_calibrated():
     rnd = random.Random(1)
     rows = []
