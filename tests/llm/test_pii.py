@@ -55,3 +55,52 @@ def test_long_text_and_rows(spark):
     texts = {r.doc_id: r.text for r in redact(rows).collect()}
     assert texts[1] == long.replace("0878.186.2759", "[PHONE]") and texts[2] is None and texts[3] == "" and texts[4] == "[EMAIL] [EMAIL]"
     assert find(rows.limit(0)).count() == 0 and redact(rows.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        (f"Mail {'a' * 200}@example.com now", [("email", f"{'a' * 200}@example.com")]),
+        (f"Mail {'a' * 200} [at] host [dot] example", [("email", f"{'a' * 200} [at] host [dot] example")]),
+        ("Shri Ram Prasad Kumar Verma Singh Gupta said", [("name", "Ram Prasad Kumar Verma Singh Gupta")]),
+        ("Contact: John Smith Fitzgerald Kennedy Junior (0712) 345-6789", [("name", "John Smith Fitzgerald Kennedy Junior"), ("phone", "(0712) 345-6789")]),
+        ("from Ram Lal Kumar Das Gupta <x@y.org>", [("name", "Ram Lal Kumar Das Gupta"), ("email", "x@y.org")]),
+        ("by R.K. Ram Das <a@b.org> and Verma, Ram K. <a@c.org>", [("name", "R.K. Ram Das"), ("email", "a@b.org"), ("name", "Verma, Ram K."), ("email", "a@c.org")]),
+        ("then Ruma Das (who can be reached all day on 0712 345 6789) left", [("name", "Ruma Das"), ("phone", "0712 345 6789")]),
+        ("Reach Rahul Sharma at the gate; reach Water Board at once", [("name", "Rahul Sharma")]),
+        ("Call +91 98765 43210.", [("phone", "+91 98765 43210")]),
+        ("+44 20 7946 0958 rings", [("phone", "+44 20 7946 0958")]),
+        ("Fax (212) 555-0199.", [("phone", "(212) 555-0199")]),
+        ("Tel: +1-800-555-0199 ext. 4", [("phone", "+1-800-555-0199 ext. 4")]),
+        ("mobile: 98765 43210", [("phone", "98765 43210")]),
+        ("0712 345 6789 at the start,\t0712 345 6780 after a tab", [("phone", "0712 345 6789"), ("phone", "0712 345 6780")]),
+        ("He had + 12 and +5 marks, call 12 men", []),
+        ("SSN 123-45-6789", [("id_number", "123-45-6789")]),
+        ("passport no. K1234567", [("id_number", "K1234567")]),
+        ("Aadhaar number 1234 5678 9012", [("id_number", "1234 5678 9012")]),
+        ("IBAN GB82 WEST 1234 5698 7654 32 please", [("id_number", "GB82 WEST 1234 5698 7654 32")]),
+        ("IBAN GB82 WEST 1234 5698 7654 33 please", []),
+        ("credit card 4111 1111 1111 1111", [("id_number", "4111 1111 1111 1111")]),
+        ("credit card 4111 1111 1111 1112", []),
+    ],
+)
+def test_formats_the_test_tables_do_not_have(text, want):
+    assert got(text) == want
+
+
+def test_known_names(spark):
+    rows = spark.createDataFrame([(1, "so said zeno quark, and Zenoquarks too")], "doc_id bigint, text string")
+    assert [r.found for r in find(rows, known=["Zeno Quark", " ", None]).collect()] == ["zeno quark"]
+    assert redact(rows, known=["Zeno Quark"]).first().text == "so said [NAME], and Zenoquarks too"
+
+
+@pytest.mark.parametrize("unit", ["Kumari Sita ", "Sita Ram (", "(0 ", "\n", "a@b.c ", "<a@b.c> ", "K. ", "@", "Sita "])
+def test_time_is_linear(unit):
+    import time
+
+    def took(n):
+        text = (unit * (n // len(unit) + 1))[:n] + "<a@b.c>"
+        best = min((lambda s: (FINDER.spans(text), time.process_time() - s)[1])(time.process_time()) for _ in range(2))
+        return best
+
+    assert took(400_000) < 8 * took(100_000) + 0.2
