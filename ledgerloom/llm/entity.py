@@ -6,17 +6,19 @@
    of the seat, so that a name cut to initials still meets its seat. Every band bucket is used whole. Besides, exact joins find what
    bands may miss: names with two tokens in common, one of them perhaps with one edit, or with a token and an initial.
 3. Pairwise similarities: token pairing of the names, edit likeness of seat and state, indicators for what is missing.
-4. A logistic classifier, fitted on a bounded sample of weakly labelled pairs (``SAMPLE`` rows): see ``weak_labels``; copies with
-   blanked attributes teach it what a missing one is worth. Held-out pairs calibrate the score by Platt's method.
+4. A logistic classifier, fitted on a bounded sample of weakly labelled pairs (``SAMPLE`` rows): see ``weak_labels`` and
+   ``training``; copies with blanked attributes teach it what a missing one is worth. Scores of pairs held out in turn, each weighted by
+   how many pairs it stands for, calibrate it by Platt's method: the confidences are for the candidates' own rate of matches.
 5. The best candidate is the match if its probability is ``least`` or more after it has been shared with its rivals.
 
 Edge cases. Blank and null attributes are missing, as are "not stated" and the like. A record without a name has no match.
-Repeated records get the same match each. Ties (two right records alike in all that is known) are no match. Empty tables give
+Where no pair agrees in all attributes nothing can be learnt, and no record is matched at all. Repeated records get the same match each. Ties (two right records alike in all that is known) are no match. Empty tables give
 an empty result. Very long values are compared whole. Only the named columns are read.
 """
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +33,9 @@ from ledgerloom.llm import names, variants
 from ledgerloom.operators.joins import lookup_join
 from ledgerloom.session import staged
 
-#: Most weakly labelled pairs the classifier is fitted on.
+LOG = logging.getLogger(__name__)
+
+#: Most rows the classifier is fitted on: a third each of pairs labelled a match, pairs labelled none, and matches set beside a stranger.
 SAMPLE = 40_000
 #: Name bands: how many, and hashes in each.
 NAME_BANDS, NAME_ROWS = 20, 5
@@ -199,37 +203,46 @@ class Model:
         return 1 / (1 + F.exp(-(F.lit(self.slope) * raw + F.lit(self.shift))))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
-    """Weights (the last one the offset) by Newton's method with a ridge."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
+    """Weights (the last one the offset) by Newton's method with a ridge; defined for labels of one class too."""
     x = np.hstack([x, np.ones((len(x), 1))])
+    each = np.ones(len(x)) if weight is None else weight
     w = np.zeros(x.shape[1])
     keep = np.full(x.shape[1], ridge)
-    keep[-1] = 1e-6
+    keep[-1] = 1e-3
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(keep), x.T @ (y - p) - keep * w)
-        w = w + step
+        step = np.linalg.solve((x * (each * p * (1 - p))[:, None]).T @ x + np.diag(keep), x.T @ (each * (y - p)) - keep * w)
+        w = w + np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
-def fit(labelled: pd.DataFrame, seed: int = 3) -> Model:
-    """The classifier of a bounded sample with ``label`` and the features; a prior where one class is absent."""
-    if len(labelled) < 50 or labelled["label"].nunique() < 2:
-        prior = {"whole": 4.0, "part": 4.0, "weakest": 2.0, "initials": -1.0, "left_over": -1.0, "seat": 3.0, "seat_differs": -2.0, "state": 1.5, "state_differs": -2.0, "same_key": 2.0}
-        return Model([prior.get(f, 0.0) for f in FEATURES], -9.0, 1.0, 0.0)
-    order = np.random.default_rng(seed).permutation(len(labelled))
-    x, y = labelled[FEATURES].to_numpy(float)[order], labelled["label"].to_numpy(float)[order]
-    cut = len(x) * 3 // 4
-    w = _logistic(x[:cut], y[:cut])
-    raw = x[cut:] @ w[:-1] + w[-1]
-    platt = _logistic(raw[:, None], y[cut:], ridge=1e-3) if len(set(y[cut:])) == 2 else np.array([1.0, 0.0])
+#: Parts the labelled pairs are cut into; each is scored by the classifier of the others.
+FOLDS = 4
+
+
+def fit(labelled: pd.DataFrame) -> Model:
+    """The classifier of a bounded sample: ``label``, the features, ``pair`` (all writings of a pair share a fold), ``weight`` (the pairs it stands for).
+
+    Ranking is learnt from the sample as it is, half of each label; only the calibration knows how frequent each label is.
+    """
+    x, y, weight = labelled[FEATURES].to_numpy(float), labelled["label"].to_numpy(float), labelled["weight"].to_numpy(float)
+    fold = labelled["pair"].to_numpy() % FOLDS
+    raw = np.zeros(len(x))
+    for k in range(FOLDS):
+        own, rest = fold == k, fold != k
+        if own.any():
+            w = _logistic(x[rest], y[rest])
+            raw[own] = x[own] @ w[:-1] + w[-1]
+    platt = _logistic(raw[:, None], y, weight, ridge=1e-3)
+    w = _logistic(x, y)
     return Model([float(v) for v in w[:-1]], float(w[-1]), float(platt[0]), float(platt[1]))
 
 
 def weak_labels(scored: DataFrame) -> DataFrame:
-    """Pairs with a weak label, in four writings: as they are, without the seat, without the state, without either.
+    """Pairs with a weak label, each with ``pair``, a number of its own.
 
     Records with all attributes decide: a pair that agrees in seat and state and pairs off its name, or has the whole name
     and one of the two, is a match; the other pairs of a record with one such pair are none.
@@ -239,18 +252,43 @@ def weak_labels(scored: DataFrame) -> DataFrame:
     sure = (near_seat & near_state & (F.col("part") >= 0.7) & (F.col("left_over") <= 1)) | ((near_seat | near_state) & (F.col("whole") >= 0.95))
     per = Window.partitionBy("lk", "l_seat", "l_state")
     marked = full.withColumn("sure", sure.cast("int")).withColumn("n", F.sum("sure").over(per)).where("n = 1")
-    base = marked.withColumn("label", F.col("sure").cast("double")).select("label", *FEATURES)
-    no_seat = base.withColumns({"seat": F.lit(0.0), "seat_missing": F.lit(1.0), "seat_differs": F.lit(0.0)})
-    no_state = base.withColumns({"state": F.lit(0.0), "state_missing": F.lit(1.0), "state_differs": F.lit(0.0)})
-    neither = no_seat.withColumns({"state": F.lit(0.0), "state_missing": F.lit(1.0), "state_differs": F.lit(0.0)})
-    return base.unionByName(no_seat).unionByName(no_state).unionByName(neither)
+    pair = F.xxhash64("lk", "l_seat", "l_state", "rk", "r_seat", "r_state", "r_id")
+    return marked.select(F.col("sure").cast("double").alias("label"), pair.alias("pair"), "lk", "l_seat", "l_state", "r_id", *FEATURES)
 
 
-def sample(labelled: DataFrame, rows: int = SAMPLE, seed: int = 5) -> pd.DataFrame:
-    """At most ``rows`` labelled pairs, half of each label where there are as many, by a seeded hash order."""
-    order = F.xxhash64(F.lit(seed), "label", *[F.col(f) for f in FEATURES])
-    parts = [labelled.where(F.col("label") == v).orderBy(order).limit(rows // 2) for v in (0.0, 1.0)]
-    return parts[0].unionByName(parts[1]).toPandas()
+def blanked(pairs: pd.DataFrame) -> pd.DataFrame:
+    """Each pair in four writings: as it is, without the seat, without the state, without either."""
+    no_seat, no_state = {"seat": 0.0, "seat_missing": 1.0, "seat_differs": 0.0}, {"state": 0.0, "state_missing": 1.0, "state_differs": 0.0}
+    return pd.concat([pairs, pairs.assign(**no_seat), pairs.assign(**no_state), pairs.assign(**no_seat, **no_state)], ignore_index=True)
+
+
+def training(labelled: DataFrame, members: DataFrame, rows: int = SAMPLE, seed: int = 5) -> pd.DataFrame:
+    """At most ``rows`` labelled rows for ``fit``: pairs of either label by a seeded hash of the pair itself, in four writings each.
+
+    Candidates alone may lack pairs that are none, so matches are also set beside a right record of another person, drawn by the same
+    kind of order; those stand for themselves only. Empty where no pair is labelled a match.
+    """
+    most = rows // 12
+    total = {r.label: r.n for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    order = F.xxhash64(F.lit(seed), "pair")
+    taken = [labelled.where(F.col("label") == v).orderBy(order, "pair").limit(most).toPandas() for v in (0.0, 1.0)]
+    if taken[1].empty:
+        return taken[1].assign(weight=1.0)
+    for v, part in enumerate(taken):
+        part["weight"] = total.get(float(v), 0) / max(len(part), 1)
+    others = members.orderBy(F.xxhash64(F.lit(seed), "r_id", "rk", "r_seat", "r_state"), "r_id").limit(most).toPandas()
+    beside = taken[1][["lk", "l_seat", "l_state", "r_id", "pair"]].rename(columns={"r_id": "own"})
+    beside = pd.concat([beside.reset_index(drop=True), others.iloc[np.arange(len(beside)) % len(others)].reset_index(drop=True)], axis=1)
+    beside = beside[beside["own"] != beside["r_id"]].drop(columns="own")
+    schema = "lk string, l_seat string, l_state string, pair bigint, rk string, r_seat string, r_state string, r_id string"
+    rows_beside = [tuple(None if pd.isna(v) else v for v in r) for r in beside[[c.split()[0] for c in schema.split(", ")]].astype({"r_id": "str"}).itertuples(index=False)]
+    apart = labelled.sparkSession.createDataFrame(rows_beside, schema)
+    named = apart.withColumn("f", _name_features(F.split("lk", " "), F.split("rk", " "))).select(*apart.columns, "f.*")
+    strangers = features(named).select("pair", *FEATURES).toPandas().assign(label=0.0, weight=1.0)
+    made = blanked(pd.concat([*taken, strangers], ignore_index=True)[["label", "pair", "weight", *FEATURES]])
+    distinct = made.drop_duplicates(["label", *FEATURES])
+    LOG.info("classifier sample: %d rows, %d distinct vectors, by label %s of %s", len(made), len(distinct), made["label"].value_counts().to_dict(), total)
+    return made
 
 
 def match(
@@ -289,7 +327,11 @@ def match(
     triples = l_rows.select(F.col("key").alias("lk"), F.col("seat").alias("l_seat"), F.col("state").alias("l_state")).distinct()
     members = r_rows.select(F.col("key").alias("rk"), F.col("seat").alias("r_seat"), F.col("state").alias("r_state"), F.col("id").alias("r_id"))
     scored = staged(features(triples.join(named, "lk").join(members, "rk")), "entity-scored")
-    model = fit(sample(weak_labels(scored)))
+    learnt = training(staged(weak_labels(scored), "entity-labels"), members)
+    if learnt.empty:
+        none = F.lit(None).cast(r_rows.schema["id"].dataType)
+        return l_rows.limit(0).select(F.col("id").alias("left_id"), none.alias("right_id"), F.lit(0.0).alias("confidence"))
+    model = fit(learnt)
     record = ["lk", "l_seat", "l_state"]
     each = scored.withColumn("p", model.probability()).groupBy(*record, "r_id").agg(F.max("p").alias("p"))
     rivals = Window.partitionBy(*record)

@@ -1,5 +1,6 @@
 """Set-similarity join, canonical mapping, record matching and name variants against brute force and planted cases."""
 
+import math
 import random
 
 import pandas as pd
@@ -113,10 +114,39 @@ def test_classifier_is_calibrated():
     for _ in range(6000):
         y = rnd.random() < 0.3
         row = dict.fromkeys(entity.FEATURES, 0.0) | {"label": float(y), "whole": rnd.gauss(0.8 if y else 0.4, 0.2), "seat": rnd.gauss(0.7 if y else 0.4, 0.3)}
-        rows.append(row)
+        rows.append(row | {"pair": len(rows), "weight": 1.0})
     model = entity.fit(pd.DataFrame(rows))
     assert model.weights[0] > 0 and model.weights[5] > 0 and 0.5 < model.slope < 2
-    assert entity.fit(pd.DataFrame(columns=["label", *entity.FEATURES])).weights[0] > 0
+    # Half of the matches left out and the rest counting double: the same rate, so about the same mean probability.
+    def mean(model, rows):
+        raw = [sum(w * r[f] for w, f in zip(model.weights, entity.FEATURES)) + model.offset for r in rows]
+        return sum(1 / (1 + math.exp(-(model.slope * x + model.shift))) for x in raw) / len(rows)
+
+    thinned = [r | {"weight": 1 + r["label"]} for r in rows if not r["label"] or r["pair"] % 2]
+    assert abs(mean(model, rows) - 0.3) < 0.03 and abs(mean(entity.fit(pd.DataFrame(thinned)), rows) - 0.3) < 0.03
+
+
+def test_one_class_of_weak_labels_still_gives_a_fitted_classifier(spark):
+    roster = people(6, seed=3)
+    slips = [(i, name, seat, state) for i, (_, name, seat, state) in enumerate(roster)] + [(9, roster[0][1], None, None), (10, "Someone Other", "Nowhere", None)]
+    left = spark.createDataFrame(slips, "slip int, who string, seat string, state string")
+    right = spark.createDataFrame(roster, "id string, name string, seat string, state string")
+    columns = ("slip", ("who", "seat", "state"), "id", ("name", "seat", "state"))
+    found = {r.left_id: r.right_id for r in entity.match(left, right, *columns).collect()}
+    assert found == {i: m for i, (m, *_) in enumerate(roster)} | {9: roster[0][0]}
+    # Without a pair that agrees in everything nothing is learnt, and nothing matched.
+    assert entity.match(left.where("seat is null"), right, *columns).count() == 0
+
+
+def test_training_sample_goes_by_pair(spark):
+    row = dict.fromkeys(entity.FEATURES, 0.0)
+    often = [row | {"label": 1.0, "pair": i, "lk": "a b", "l_seat": "s", "l_state": "t", "r_id": "m0", "whole": 1.0 if i % 10 else i / 4000} for i in range(4000)]
+    labelled = spark.createDataFrame(pd.DataFrame(often + [row | {"label": 0.0, "pair": -1, "lk": "c d", "l_seat": "s", "l_state": "t", "r_id": "m1"}]))
+    members = spark.createDataFrame([("e f", "s", "t", "m0"), ("g h", "u", None, "m2")], "rk string, r_seat string, r_state string, r_id string")
+    made = entity.training(labelled, members, rows=1200)
+    sure = made[made["label"] == 1.0]
+    assert len(sure) == 400 and 5 <= sure["whole"].nunique() <= 20 and set(sure["weight"]) == {40.0}
+    assert set(made[made["label"] == 0.0]["weight"]) == {1.0}
 
 
 def test_cosine_join_equals_all_pairs(spark):
