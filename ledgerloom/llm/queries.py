@@ -57,7 +57,7 @@ def _forms(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _roster(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "constituencies").select("memberId", names.key(names.folded(F.col("memberName"))).alias("key")).where("key <> ''")
+    return table(spark, root, "constituencies").select(F.col("memberId").alias("owner"), names.folded(F.col("memberName")).alias("tokens"))
 
 
 def p5_clusters(spark: SparkSession, root: str) -> DataFrame:
@@ -67,11 +67,8 @@ def p5_clusters(spark: SparkSession, root: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
     """Pairs of writings of one person; names that several roster members bear in full are left out."""
-    roster = _roster(spark, root)
-    clusters = staged(variants.cluster_forms(_forms(spark, root), roster), "p5-clusters")
-    shared = roster.groupBy("key").agg(F.countDistinct("memberId").alias("n")).where("n > 1").select("key")
-    namesakes = clusters.join(shared, "key", "left_semi").select("cluster").distinct()
-    return variants.form_pairs(clusters.join(namesakes, "cluster", "left_anti")).distinct()
+    clusters = staged(variants.cluster_forms(_forms(spark, root), _roster(spark, root)), "p5-clusters")
+    return variants.form_pairs(clusters.where("not namesakes")).distinct()
 
 
 def p6_ids(spark: SparkSession, root: str) -> DataFrame:

@@ -2,21 +2,24 @@
 
 1. Written forms fold to token lists (``names.folded``); forms that fold alike are one key. A token that is two frequent
    tokens written together is parted.
-2. Distinct tokens, as written, become TF-IDF vectors of letter trigrams. A sparse cosine join finds all pairs from ``TOKEN_COSINE`` on:
-   trigrams are ordered by rarity, and only the prefix that any partner must share is joined (the rest of the vector has
-   too little length to reach the threshold alone), so no list of candidates is cut off. What one edit leaves of a short token
-   may lie below any useful cosine, so tokens one edit apart are joined exactly besides, by what is left of them without one letter.
-3. Two keys are compared if they share two tokens, or one and a neighbour of another; a key with initials, if it
-   shares a token and an initial. The rarer token leads, so that pairs which have only common tokens in common never meet.
-4. Keys with the same number of full tokens, all pairing off, are linked; links are clustered by average linkage, each
-   writing weighted by how often it occurs. The clustering is distributed: in every round all clusters that are each other's
-   nearest merge, which gives the average-linkage result because that linkage is reducible.
+2. A key's vector holds the letter trigrams of its tokens and the first letter of each (which is all that an initial says), weighted by
+   inverse document frequency over all keys, at unit length. The dot product of two names is the sum of those of their tokens, so
+   the sparse join runs over tokens: distinct tokens become vectors themselves, and ``cosine_join`` finds all pairs from
+   ``TOKEN_COSINE`` on (trigrams are ordered by rarity, and only the prefix that any partner must share is joined). What one edit
+   leaves of a short token may lie below any useful cosine, so tokens one edit apart are joined exactly besides.
+3. Two keys meet if they share two tokens, or one and a neighbour of another; a key with initials, if it
+   shares a token and an initial. The rarer token leads, so that pairs which have only common tokens in common never meet. Pairs that meet get
+   the cosine of their whole vectors; those from ``NAME_COSINE`` on stay, each key with its ``top`` nearest (all of them unless told otherwise).
+4. An exact check keeps the pairs whose tokens all pair off but for slips; their cosines are the links, clustered by average linkage, each
+   writing weighted by how often it occurs. Linked keys fall into components first; a component of up to ``SMALL`` links is
+   clustered in one task, larger ones in distributed rounds with the same result: in every round all clusters that are each other's
+   nearest merge, which is right because average linkage is reducible.
 5. A key that says less (initials, a missing middle name) joins the cluster it fits if it fits only one and is not, without
    initials, a name the caller knows to be someone's own (``known``). How often it is written does not count.
 
 Edge cases. Null and blank forms, and those with titles alone, are no writings of anyone. Repeated forms count as
-occurrences. Forms that fold alike but stand for namesakes cannot be told apart here; the caller may name such keys. Very
-long forms are compared whole. Empty inputs give an empty result.
+occurrences. Forms that fold alike but stand for namesakes cannot be told apart here; clusters with a name that several owners of
+``known`` bear in full are marked. Very long forms are compared whole. Empty inputs give an empty result.
 """
 
 from __future__ import annotations
@@ -31,8 +34,10 @@ from ledgerloom.functions.text import present
 from ledgerloom.llm import names
 from ledgerloom.session import staged
 
-#: Least cosine of two tokens' trigram vectors, and least average similarity of two clusters that merge.
-TOKEN_COSINE, LINKAGE = 0.36, 0.5
+#: Least cosine of two tokens' trigram vectors and of two names' vectors, and least average cosine of two clusters that merge.
+TOKEN_COSINE, NAME_COSINE, LINKAGE = 0.36, 0.3, 0.3
+#: Links of a component that one task clusters; larger components are clustered in distributed rounds.
+SMALL = 20_000
 
 
 def cosine_join(items: DataFrame, least: float = TOKEN_COSINE, edits: int | None = None) -> DataFrame:
@@ -86,27 +91,51 @@ def edit_join(items: DataFrame) -> DataFrame:
     return near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def part_tokens(keys: DataFrame) -> DataFrame:
-    """``keys`` (tokens, mentions) with tokens that are two frequent tokens written together parted."""
-    token = keys.select(F.explode("tokens").alias("token"), "mentions").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+def partings(keys: DataFrame) -> DataFrame:
+    """Tokens of ``keys`` (tokens) that are two much more frequent ones written together: token, parts."""
+    token = keys.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     token = staged(token, "variants-tokens")
     cuts = token.where(F.length("token") >= 7).select("token", "n", F.explode(F.sequence(F.lit(3), F.length("token") - 3)).alias("i"))
     cuts = cuts.select("token", "n", F.substring("token", F.lit(1), F.col("i")).alias("x"), F.substring("token", F.col("i") + 1, F.length("token")).alias("y"))
-    known = token.where("n >= 3")
     fits = (
-        cuts.join(known.select(F.col("token").alias("x"), F.col("n").alias("nx")), "x")
-        .join(known.select(F.col("token").alias("y"), F.col("n").alias("ny")), "y")
+        cuts.join(token.select(F.col("token").alias("x"), F.col("n").alias("nx")), "x")
+        .join(token.select(F.col("token").alias("y"), F.col("n").alias("ny")), "y")
         .where("nx > 3 * n and ny > 3 * n")
     )
-    best = fits.groupBy("token").agg(F.max_by(F.array("x", "y"), F.struct(F.least("nx", "ny"), "x")).alias("parts"))
-    placed = keys.select("id", F.posexplode("tokens").alias("at", "token")).join(best, "token", "left")
+    return fits.groupBy("token").agg(F.max_by(F.array("x", "y"), F.struct(F.least("nx", "ny"), "x")).alias("parts"))
+
+
+def part_tokens(keys: DataFrame, parts: DataFrame) -> DataFrame:
+    """``keys`` (id, tokens) with the tokens of ``parts`` parted."""
+    placed = keys.select("id", F.posexplode("tokens").alias("at", "token")).join(parts, "token", "left")
     made = placed.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("parts", F.array("token")).alias("t")))).alias("list"))
     return keys.drop("tokens").join(made.select("id", F.flatten(F.col("list.t")).alias("tokens")), "id")
 
 
+def name_cosines(keys: DataFrame, pairs: DataFrame, least: float = NAME_COSINE, top: int | None = None) -> DataFrame:
+    """The ``pairs`` (a, b) of ``keys`` (id, tokens) whose vectors have cosine ``least`` or more: a, b, cosine.
+
+    With ``top``, a pair stays if it is among the nearest ``top`` of either side; without, all stay.
+    """
+    firsts = F.transform("tokens", lambda t: F.concat(F.lit("<"), F.substring(t, 1, 1)))
+    listed = keys.select("id", F.explode(F.array_distinct(F.concat(names.grams(F.col("tokens")), firsts))).alias("gram"))
+    total = keys.agg(F.count(F.lit(1)).alias("total"))
+    weights = listed.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(total)).select("gram", F.log1p(F.col("total") / F.col("df")).alias("idf"))
+    vectors = listed.join(weights, "gram").groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("gram", "idf"))).alias("v"), F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("n"))
+    vectors = staged(vectors, "variants-vectors")
+    side = lambda i: vectors.select(F.col("id").alias(i), F.col("v").alias(f"v{i}"), F.col("n").alias(f"n{i}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    dot = F.aggregate(F.map_entries("va"), F.lit(0.0), lambda s, e: s + e["value"] * F.coalesce(F.try_element_at(F.col("vb"), e["key"]), F.lit(0.0)))
+    near = both.select("a", "b", (dot / (F.col("na") * F.col("nb"))).alias("cosine")).where(F.col("cosine") >= least - 1e-9)
+    if top is None:
+        return near
+    place = lambda i, j: F.row_number().over(Window.partitionBy(i).orderBy(F.desc("cosine"), j))
+    return near.withColumn("__a", place("a", "b")).withColumn("__b", place("b", "a")).where((F.col("__a") <= top) | (F.col("__b") <= top)).drop("__a", "__b")
+
+
 SHAPE = T.StructType([T.StructField("likeness", T.DoubleType()), T.StructField("kind", T.StringType())])
 
-#: A token this much rarer than its neighbour may be a slip for it; two common tokens are two names.
+#: A token this much rarer than its neighbour may be a slip for it (one more key being no evidence); two common tokens are two names.
 SLIP = 0.25
 
 
@@ -116,7 +145,7 @@ def slip(a: dict, b: dict) -> float:
         return 1.0
     if len(a["t"]) == 1 or len(b["t"]) == 1:
         return 0.6 if a["t"][0] == b["t"][0] else 0.0
-    if min(a["n"], b["n"]) > max(2, SLIP * max(a["n"], b["n"])) or min(len(a["t"]), len(b["t"])) < 3:
+    if min(a["n"], b["n"]) > 1 + SLIP * max(a["n"], b["n"]) or min(len(a["t"]), len(b["t"])) < 3:
         return 0.0
     near = lambda x, y: abs(len(x) - len(y)) <= 1 and names.edits(*sorted((x, y))) <= 1
     return 0.9 if near(a["t"], b["t"]) or near(a["raw"], b["raw"]) else 0.0
@@ -173,13 +202,86 @@ def candidate_keys(keys: DataFrame, near: DataFrame) -> DataFrame:
     return met.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
 
 
-def average_linkage(nodes: DataFrame, links: DataFrame, least: float = LINKAGE) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
+    """node and component (the least node in it) of all nodes of ``links`` (a, b): each takes its neighbours' least label, then that label's own."""
+    ends = staged(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "components-ends")
+    label = staged(ends.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("c")), "components-label")
+    while True:
+        seen = ends.join(label.select(F.col("a").alias("b"), "c"), "b").groupBy("a").agg(F.min("c").alias("near"))
+        lower = label.join(seen, "a").select("a", "c", F.least("c", "near").alias("low"))
+        jump = label.select(F.col("a").alias("low"), F.col("c").alias("next"))
+        after = staged(lower.join(jump, "low").select("a", F.least("low", "next").alias("c"), (F.least("low", "next") < F.col("c")).alias("moved")), "components-label")
+        if after.where("moved").isEmpty():
+            return after.select(F.col("a").alias("node"), F.col("c").alias("component"))
+        label = after.select("a", "c")
+
+
+def _linked(links: pd.DataFrame, least: float) -> dict:
+    """``linkage_rounds`` over one component in memory: node -> cluster, from rows a, b, likeness, wa, wb."""
+    size: dict[int, float] = {}
+    sums: dict[int, dict[int, float]] = {}
+    for a, b, s, wa, wb in links.itertuples(index=False):
+        size[a], size[b] = float(wa), float(wb)
+        sums.setdefault(a, {})[b] = sums.setdefault(b, {})[a] = s * wa * wb
+    into = {n: n for n in size}
+    fresh = set(sums)
+    best: dict[int, int] = {}
+    while fresh:
+        for a in fresh:
+            near = [(s / (size[a] * size[b]), -b) for b, s in sums[a].items()]
+            top = max((x for x in near if x[0] >= least), default=None)
+            if top is None:
+                best.pop(a, None)
+            else:
+                best[a] = -top[1]
+        merges = sorted({(min(a, b), max(a, b)) for a in fresh if (b := best.get(a)) is not None and best.get(b) == a})
+        fresh = set()
+        for a, b in merges:
+            size[a] += size.pop(b)
+            best.pop(b, None)
+            for c, s in sums.pop(b).items():
+                del sums[c][b]
+                if c != a:
+                    sums[a][c] = sums[c][a] = sums[a].get(c, 0.0) + s
+            into[b] = a
+            fresh |= {a, *sums[a]}
+        fresh &= sums.keys()
+
+    def last(n: int) -> int:
+        while into[n] != n:
+            n = into[n]
+        return n
+
+    return {n: last(n) for n in into}
+
+
+def average_linkage(nodes: DataFrame, links: DataFrame, least: float = LINKAGE, small: int = SMALL) -> DataFrame:
     """Clusters of weighted nodes: node, cluster (the least node in it).
 
     ``nodes`` has node and weight, ``links`` has a, b and likeness once a pair. The similarity of two clusters is the mean
     likeness over all pairs of their nodes, by weight, a missing link counting 0. In each round all pairs of clusters
-    that are each other's nearest, from ``least`` on, merge; ties go to the smaller node.
+    that are each other's nearest, from ``least`` on, merge; ties go to the smaller node. Components of up to ``small`` links are
+    clustered in one task each.
     """
+    links = staged(links.select("a", "b", "likeness"), "linkage-links")
+    part = components(links)
+    placed = staged(links.join(part.withColumnRenamed("node", "a"), "a"), "linkage-placed")
+    large = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > small).select("component")
+    weights = lambda c, w: nodes.select(F.col("node").alias(c), F.col("weight").alias(w))
+    own = placed.join(large, "component", "left_anti").join(weights("a", "wa"), "a").join(weights("b", "wb"), "b")
+
+    def cluster(part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(list(_linked(part[["a", "b", "likeness", "wa", "wb"]], least).items()), columns=["node", "cluster"])
+
+    done = own.groupBy("component").applyInPandas(cluster, "node bigint, cluster bigint")
+    if not large.isEmpty():
+        inside = part.join(large, "component", "left_semi").select("node")
+        done = done.unionByName(linkage_rounds(nodes.join(inside, "node", "left_semi"), placed.join(large, "component", "left_semi").drop("component"), least))
+    return nodes.select("node").join(done, "node", "left").select("node", F.coalesce("cluster", "node").alias("cluster"))
+
+
+def linkage_rounds(nodes: DataFrame, links: DataFrame, least: float = LINKAGE) -> DataFrame:
+    """As ``average_linkage``, all in distributed rounds."""
     weight = nodes.select("node", "weight")
     sums = links.join(weight.select(F.col("node").alias("a"), F.col("weight").alias("wa")), "a").join(weight.select(F.col("node").alias("b"), F.col("weight").alias("wb")), "b")
     edges = staged(sums.select("a", "b", (F.col("likeness") * F.col("wa") * F.col("wb")).alias("sum")), "linkage-edges")
@@ -205,17 +307,19 @@ def average_linkage(nodes: DataFrame, links: DataFrame, least: float = LINKAGE)
 
 
 def cluster_forms(forms: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """form, key and cluster of every distinct form of ``forms`` (form); cluster is a number shared by writings of one name.
+    """form, key, cluster and namesakes of every distinct form of ``forms`` (form); cluster is a number shared by writings of one name.
 
-    ``known`` (key) has the keys of full names, as in a roster: a writing that is one of them is no shorter writing of another.
+    ``known`` (tokens, owner) has full names, as in a roster: a writing that is one of them is no shorter writing of another, and
+    ``namesakes`` is true for clusters with one that several owners bear.
     """
     counted = forms.where(present(F.col("form")).isNotNull()).groupBy("form").agg(F.count(F.lit(1)).alias("n"))
     spelt = counted.withColumn("written", names.written(F.col("form"))).withColumn("tokens", F.transform("written", names.sound))
     folded = staged(spelt.where("size(tokens) > 0 and not array_contains(tokens, '')"), "variants-folded")
-    raw = folded.groupBy(names.key(F.col("tokens")).alias("key")).agg(F.min("tokens").alias("tokens"), F.sum("n").alias("mentions"), F.count(F.lit(1)).alias("forms"))
-    raw = raw.select(F.xxhash64("key").alias("id"), F.col("key").alias("raw_key"), "tokens", "mentions", "forms")
-    parted = staged(part_tokens(raw), "variants-parted").withColumn("key", names.key(F.col("tokens")))
-    keys = parted.groupBy(F.xxhash64("key").alias("id"), "key").agg(F.min("tokens").alias("tokens"), F.sum("mentions").alias("mentions"), F.sum("forms").alias("forms"))
+    raw = folded.groupBy(names.key(F.col("tokens")).alias("key")).agg(F.min("tokens").alias("tokens"), F.sum("n").alias("mentions"))
+    raw = staged(raw.select(F.xxhash64("key").alias("id"), F.col("key").alias("raw_key"), "tokens", "mentions"), "variants-raw")
+    parts = staged(partings(raw), "variants-parts")
+    parted = staged(part_tokens(raw, parts), "variants-parted").withColumn("key", names.key(F.col("tokens")))
+    keys = parted.groupBy(F.xxhash64("key").alias("id"), "key").agg(F.min("tokens").alias("tokens"), F.sum("mentions").alias("mentions"))
     keys = staged(keys, "variants-keys")
     spellings = folded.select("n", F.explode(F.arrays_zip("tokens", "written")).alias("z")).groupBy(F.col("z.tokens").alias("token"), F.col("z.written").alias("raw")).agg(F.sum("n").alias("n"))
     spellings = staged(spellings, "variants-spellings")
@@ -233,15 +337,24 @@ def cluster_forms(forms: DataFrame, known: DataFrame | None = None) -> DataFrame
     told = F.struct(F.col("token").alias("t"), F.coalesce("raw", "token").alias("raw"), "n")
     tokens = staged(placed.groupBy("id").agg(F.collect_list(told).alias("tokens")), "variants-told")
     side = lambda c, t: tokens.select(F.col("id").alias(c), F.col("tokens").alias(t))
-    judged = pairs.join(side("a", "ta"), "a").join(side("b", "tb"), "b").withColumn("f", _compare("ta", "tb"))
-    judged = staged(judged.select("a", "b", "f.likeness", "f.kind").where("kind is not null"), "variants-judged")
-    links = judged.where("kind = 'full' and a < b").select("a", "b", "likeness")
+    near_names = staged(name_cosines(keys, pairs.where("a < b")), "variants-cosines")
+    judged = near_names.join(side("a", "ta"), "a").join(side("b", "tb"), "b").withColumn("f", _compare("ta", "tb")).withColumn("g", _compare("tb", "ta"))
+    judged = staged(judged.select("a", "b", "cosine", "f.kind", F.col("g.kind").alias("other")).where("kind is not null or other is not null"), "variants-judged")
+    links = judged.where("kind = 'full'").select("a", "b", F.col("cosine").alias("likeness"))
     label = staged(average_linkage(keys.select(F.col("id").alias("node"), F.col("mentions").alias("weight")), links), "variants-label")
-    own = parted.select("raw_key", F.xxhash64("key").alias("node"))
-    own = own.limit(0) if known is None else own.join(known.select(F.col("key").alias("raw_key")).distinct(), "raw_key", "left_semi")
-    said = staged(_attach(keys, label, judged.where("kind = 'less'"), own.select("node").distinct()), "variants-attached")
-    by_key = parted.select("raw_key", F.col("key").alias("key"), F.xxhash64("key").alias("node")).join(said, "node")
-    return folded.withColumn("raw_key", names.key(F.col("tokens"))).join(by_key, "raw_key").select("form", "key", "cluster")
+    less = judged.where("kind = 'less'").select("a", "b").unionByName(judged.where("other = 'less'").select(F.col("b").alias("a"), F.col("a").alias("b")))
+    if known is None:
+        own = keys.limit(0).select(F.col("id").alias("node"), F.lit(0).cast("bigint").alias("owners"))
+    else:
+        # The same parting on both sides, so that a name is one key wherever it is written.
+        listed = known.where("size(tokens) > 0").withColumn("id", F.xxhash64("tokens"))
+        split = part_tokens(listed.select("id", "tokens").distinct(), parts).select("id", F.xxhash64(names.key(F.col("tokens"))).alias("node"))
+        own = staged(listed.select("id", "owner").join(split, "id").groupBy("node").agg(F.countDistinct("owner").alias("owners")), "variants-own")
+    said = staged(_attach(keys, label, less, own.select("node")), "variants-attached")
+    shared = said.join(own.where("owners > 1"), "node").select("cluster", F.lit(True).alias("namesakes")).distinct()
+    by_key = parted.select("raw_key", F.col("key").alias("key"), F.xxhash64("key").alias("node")).join(said, "node").join(shared, "cluster", "left")
+    joined = folded.withColumn("raw_key", names.key(F.col("tokens"))).join(by_key, "raw_key")
+    return joined.select("form", "key", "cluster", F.coalesce("namesakes", F.lit(False)).alias("namesakes"))
 
 
 def _attach(keys: DataFrame, label: DataFrame, less: DataFrame, own: DataFrame) -> DataFrame:

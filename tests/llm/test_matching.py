@@ -198,8 +198,10 @@ def test_variants_link_one_edit_in_a_short_token(spark):
 def test_short_writings_join_by_the_roster_not_by_their_number(spark):
     long, short = ["Nolel Wani Hogatek", "Tono Velu Bevozir"], ["Nolel Hogatek", "NOLEL HOGATEK", 'Nolel "Nolly" Hogatek', "Shri Nolel Hogatek"]
     df = spark.createDataFrame([(f,) for f in long * 2 + short * 5 + ["Tono Bevozir"]], "form string")
-    known = spark.createDataFrame([("hogatek nolel vani",), ("bevozir tono velu",), ("bevozir tono",)], "key string")
-    of = {r.form: r.cluster for r in variants.cluster_forms(df, known).collect()}
+    known = spark.createDataFrame([(["nolel", "vani", "hogatek"], "1"), (["tono", "velu", "bevozir"], "2"), (["tono", "bevozir"], "3"), (["bevozir", "tono"], "4"), ([], "5"), (None, "6")], "tokens array<string>, owner string")
+    rows = variants.cluster_forms(df, known).collect()
+    of = {r.form: r.cluster for r in rows}
+    assert {r.form for r in rows if r.namesakes} == {"Tono Bevozir"}
     assert {of[f] for f in short} == {of[long[0]]} and of["Tono Bevozir"] != of[long[1]]
 
 
@@ -212,15 +214,39 @@ def test_average_linkage_equals_one_merge_at_a_time(spark):
     mean = lambda x, y: sum(links.get((min(i, j), max(i, j)), 0) * weight[i] * weight[j] for i in x for j in y) / (sum(weight[i] for i in x) * sum(weight[j] for j in y))
     while True:
         best = max(((mean(clusters[a], clusters[b]), -a, -b) for a in clusters for b in clusters if a < b), default=(0, 0, 0))
-        if best[0] < variants.LINKAGE:
+        if best[0] < 0.5:
             break
         clusters[-best[1]] |= clusters.pop(-best[2])
     nodes = spark.createDataFrame(list(weight.items()), "node bigint, weight bigint")
     edges = spark.createDataFrame([(a, b, s) for (a, b), s in links.items()], "a bigint, b bigint, likeness double")
-    got = {}
-    for r in variants.average_linkage(nodes, edges).collect():
-        got.setdefault(r.cluster, set()).add(r.node)
-    assert sorted(map(sorted, got.values())) == sorted(map(sorted, clusters.values()))
+    for small in (0, 5, 1000):
+        got = {}
+        for r in variants.average_linkage(nodes, edges, least=0.5, small=small).collect():
+            got.setdefault(r.cluster, set()).add(r.node)
+        assert sorted(map(sorted, got.values())) == sorted(map(sorted, clusters.values()))
+
+
+def test_name_cosines_equal_a_plain_product(spark):
+    rnd = random.Random(12)
+    listed = [["".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 5))) for _ in range(rnd.randint(1, 3))] for _ in range(25)]
+    keys = spark.createDataFrame(list(enumerate(listed)), "id bigint, tokens array<string>")
+    grams = [{("<" + t + ">")[i : i + 3] for t in ts for i in range(max(len(t), 1))} | {"<" + t[0] for t in ts} for ts in listed]
+    df = {g: sum(g in x for x in grams) for x in grams for g in x}
+    v = [{g: math.log1p(len(grams) / df[g]) for g in x} for x in grams]
+    size = [math.sqrt(sum(w * w for w in x.values())) for x in v]
+    want = {(a, b): sum(w * v[b].get(g, 0) for g, w in v[a].items()) / size[a] / size[b] for a in range(25) for b in range(25) if a < b}
+    pairs = spark.createDataFrame(list(want), "a bigint, b bigint")
+    got = {(r.a, r.b): r.cosine for r in variants.name_cosines(keys, pairs, 0.2).collect()}
+    assert got.keys() == {k for k, x in want.items() if x >= 0.2} and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+    best = {max((x, -b) for (a, b), x in want.items() if a == 0)[1]}
+    kept = {(r.a, r.b) for r in variants.name_cosines(keys, pairs, 0.0, top=1).collect()}
+    assert all((0, -b) in kept for b in best) and len(kept) <= 25
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    links = [(i, i + 1) for i in range(20)] + [(100, 100 + i) for i in range(1, 9)] + [(7, 7)]
+    got = {r.node: r.component for r in variants.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert got == {i: 0 for i in range(21)} | {100 + i: 100 for i in range(9)}
 
 
 def test_variants_link_writings_of_one_name(spark):
