@@ -129,8 +129,10 @@ def name_cosines(keys: DataFrame, pairs: DataFrame, least: float = NAME_COSINE,
     near = both.select("a", "b", (dot / (F.col("na") * F.col("nb"))).alias("cosine")).where(F.col("cosine") >= least - 1e-9)
     if top is None:
         return near
-    place = lambda i, j: F.row_number().over(Window.partitionBy(i).orderBy(F.desc("cosine"), j))
-    return near.withColumn("__a", place("a", "b")).withColumn("__b", place("b", "a")).where((F.col("__a") <= top) | (F.col("__b") <= top)).drop("__a", "__b")
+    either = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine"))
+    place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("cosine"), "b"))
+    kept = either.withColumn("__at", place).where(F.col("__at") <= top)
+    return kept.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "cosine").distinct()
 
 
 SHAPE = T.StructType([T.StructField("likeness", T.DoubleType()), T.StructField("kind", T.StringType())])
