@@ -13,6 +13,7 @@ the named ones are dropped, so clashing names do no harm. An empty table gives a
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -28,6 +29,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 # Fixed value: the pattern that splits a text before the merges of this vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Ids after which a batch is handed over, however few rows it has; one long text may exceed it.
+FLUSH = 1 << 20
 #: Pieces whose ids a worker remembers; beyond that it forgets all and goes on. Affects speed only.
 REMEMBERED = 400_000
 
@@ -191,11 +194,14 @@ def encode(df: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(sent)
         for batch in batches:
-            ids = [encoder.encode(t) for t in batch.column(1).to_pylist()]
-            sizes = np.cumsum([0, *map(len, ids)])
-            flat = np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(sizes[-1]))
-            column = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), column], ["doc_id", "ids"])
+            first, sizes, flat = 0, [0], array("i")
+            for at in range(batch.num_rows):
+                flat.extend(encoder.encode(batch.column(1)[at].as_py()))
+                sizes.append(len(flat))
+                if len(flat) >= FLUSH or at + 1 == batch.num_rows:
+                    column = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.frombuffer(flat, dtype=np.int32) if flat else [], pa.int32()))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, at + 1 - first), column], ["doc_id", "ids"])
+                    first, sizes, flat = at + 1, [0], array("i")
 
     rows = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, ids array<int>")

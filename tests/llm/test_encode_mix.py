@@ -35,6 +35,14 @@ def test_long_and_odd_texts(pair, text):
     assert mine.encode(text) == reference.encode(text, add_special_tokens=False).ids
 
 
+def test_batches_are_handed_over_by_size(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, "hello world " * (i % 5)) for i in range(300)], "doc_id bigint, text string").coalesce(1)
+    whole = sorted((r.doc_id, r.ids) for r in enc.encode(rows).collect())
+    monkeypatch.setattr(enc, "FLUSH", 7)
+    run = enc.encode(rows)
+    assert sorted((r.doc_id, r.ids) for r in run.collect()) == whole and len(whole) == 300
+
+
 def test_encode_rows(spark):
     rows = spark.createDataFrame([(1, "hello world", "x"), (2, None, "x"), (3, "", "x"), (1, "hello world", "x")], "doc_id bigint, text string, ids string")
     got = sorted((r.doc_id, r.ids) for r in enc.encode(rows).collect())
@@ -72,6 +80,45 @@ def test_mix_reaches_weights_within_caps(spark):
     assert again == {(r.doc_id, r.uses) for r in out.collect()}
 
 
+def test_quotas_equal_a_plain_apportionment():
+    rnd = random.Random(7)
+    for _ in range(60):
+        shards = {(s, k): rnd.randint(0, 3000) for s in "abc" for k in range(rnd.randint(1, 5))}
+        targets = {s: (rnd.random() + 0.01, rnd.randint(1, 3)) for s in "abcd"}
+        got = mix.quotas(shards, targets, block=64)
+        tokens = {s: sum(n for (x, _), n in shards.items() if x == s) for s in "abcd"}
+        live = {s: targets[s][0] for s in "abcd" if tokens[s]}
+        if not live:
+            assert got == {}
+            continue
+        size = min(tokens[s] * targets[s][1] * sum(live.values()) / w for s, w in live.items())
+
+        def plain(weights, seats, caps):
+            out = dict.fromkeys(weights, 0)
+            for _ in range(seats):
+                free = [k for k in weights if out[k] < caps[k]]
+                if free:
+                    out[min(free, key=lambda k: (-weights[k] / (2 * out[k] + 1), str(k)))] += 1
+            return out
+
+        first = plain(live, max(1, int(size / 64 + 0.5)), {s: -(-tokens[s] * targets[s][1] // 64) for s in live})
+        for s, n in first.items():
+            own = {k: t for (x, k), t in shards.items() if x == s and t}
+            want = plain(own, n, {k: -(-t * targets[s][1] // 64) for k, t in own.items()})
+            assert {k: q for (x, k), q in got.items() if x == s} == want
+
+
+def test_mix_over_many_shards_takes_whole_blocks(spark):
+    rows = [(i, "one two three four five six seven eight nine ten " * 2, "big" if i % 4 else "small") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    targets = spark.createDataFrame([("big", 0.3, 1), ("small", 0.7, 2)], "source string, weight double, max_repeats int")
+    out = mix.mix(docs, targets, block=100, shard_tokens=1000).collect()
+    used = {s: sum(r.tokens * r.uses for r in out if r.source == s) for s in ("big", "small")}
+    every = {s: sum(r.tokens for r in out if r.source == s) for s in ("big", "small")}
+    assert 0.99 * 2 * every["small"] <= used["small"] <= 2 * every["small"] and max(r.uses for r in out if r.source == "small") == 2
+    assert abs(used["big"] / sum(used.values()) - 0.3) < 0.01 and {r.uses for r in out if r.source == "big"} == {0, 1}
+
+
 def test_mix_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, source string")
     targets = spark.createDataFrame([("a", 1.0, 1)], "source string, weight double, max_repeats int")
