@@ -12,10 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions.text import collapse, normal_key, present, slug, stated
+from ledgerloom.functions.text import NOT_STATED, collapse, normal_key, present, slug
 
-# The sitting status vocabulary.
-STATUS = {"sitting": "sitting", "current": "sitting", "former": "former", "ex": "former", "retired": "former"}
+# The sitting status vocabulary, as normal keys.
+STATUS = {
+    "sitting": ("sitting", "active", "current", "serving", "yes", "y", "true", "1"),
+    "former": ("former", "ex", "exmember", "retired", "expired", "ceased", "past", "no", "n", "false", "0"),
+}
 
 
 def first_stated(*columns: Column) -> Column:
@@ -105,11 +108,11 @@ def name_variants(*columns: Column) -> Column:
 
 
 def sitting_status(c: Column) -> Column:
-    """Sitting, former or not stated."""
-    s = F.lower(stated(c))
-    out = F.lit("not stated")
-    for word, status in STATUS.items():
-        out = F.when(s == word, status).otherwise(out)
+    """Sitting, former or not stated; booleans count, and words are compared by their letters and digits alone."""
+    s = F.regexp_replace(F.lower(c.cast("string")), r"[^\p{L}\p{N}]+", "")
+    out = F.lit(NOT_STATED)
+    for status, words in STATUS.items():
+        out = F.when(s.isin(*words), status).otherwise(out)
     return out
 
 
@@ -130,6 +133,20 @@ def add_variant(variants: Column, form: Column) -> Column:
     return F.when(present(form).isNull() | F.array_contains(known, form), known).otherwise(F.concat(known, F.array(form)))
 
 
+def with_term(terms: Column, house: str, number: Column) -> Column:
+    """The list of (house, number) terms with one more, unless it is there or the number is missing; null counts as empty."""
+    kind = "array<struct<house:string,number:int>>"
+    known = F.coalesce(terms, F.array().cast(kind))
+    one = F.struct(F.lit(house).alias("house"), number.cast("int").alias("number"))
+    there = F.exists(known, lambda t: (t["house"] == house) & (t["number"] == number))
+    return F.when(number.isNull() | there, known).otherwise(F.concat(known, F.array(one)))
+
+
+def unidentified(df: DataFrame, key: str) -> DataFrame:
+    """One row (records) with the number of records that have no identity, if there is any; the caller reports or refuses."""
+    return df.where(F.col(key).isNull()).agg(F.count(F.lit(1)).alias("records")).where("records > 0")
+
+
 def dedupe(df: DataFrame, key: list[str], order: list[str], content: list[str]) -> DataFrame:
     """The first row of each key, with copies and distinct contents counted.
 

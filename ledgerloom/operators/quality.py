@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pathlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import present
@@ -80,6 +82,23 @@ def field_audit(texts: DataFrame, text: str, prohibited: list[str]) -> DataFrame
     return found.where(F.regexp_replace(F.lower("spelt"), "[^a-z0-9]", "").isin(*normal))
 
 
+def audit_tree(spark: SparkSession, path: str, prohibited: list[str], names: str = "*") -> DataFrame:
+    """Q11: ``field_audit`` over every text file below a folder: source, line, spelt. Files are read as lines, in parallel, never whole."""
+    rows = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", names).text(path)
+    numbered = rows.select(F.col("_metadata.file_path").alias("source"), F.monotonically_increasing_id().alias("line"), "value")
+    first = numbered.groupBy("source").agg(F.min("line").alias("__first"))
+    return field_audit(numbered.join(first, "source").select("source", (F.col("line") - F.col("__first")).alias("line"), "value"), "value", prohibited)
+
+
+def scratch_path(folder: str, kept_out_of: str, name: str) -> str:
+    """Q12: a path below ``folder`` for what must not land in ``kept_out_of`` (links and dots resolved); raises where it would."""
+    root, tree = pathlib.Path(folder).resolve(), pathlib.Path(kept_out_of).resolve()
+    made = (root / name).resolve()
+    if made == tree or tree in made.parents or (made != root and root not in made.parents):
+        raise ValueError("the path leads out of its folder or into the tree it must stay out of")
+    return str(made)
+
+
 def signals(shape: DataFrame, out: DataFrame, assisted_rate: DataFrame, target: float = 0.95) -> DataFrame:
     """Q02, Q03: kind, severity, detail of everything worth telling: shape changes, transitions out, a rate below target."""
     shapes = shape.select(F.lit("shape-changed").alias("kind"), "severity", F.concat_ws(" ", "change", "field").alias("detail"))
@@ -88,6 +107,15 @@ def signals(shape: DataFrame, out: DataFrame, assisted_rate: DataFrame, target:
     return shapes.unionByName(lost).unionByName(low)
 
 
+def ingestion_failures(checks: DataFrame) -> DataFrame:
+    """Q02: a ``failed`` signal for each check that counted anything: kind, severity, detail.
+
+    ``checks`` has stage, reason and records; stages with no records, or a null count, are fine. Counts and names only, never values.
+    """
+    bad = checks.where("records > 0")
+    return bad.select(F.lit("ingestion-failure").alias("kind"), F.lit("failed").alias("severity"), F.format_string("%s: %s (%d records)", "stage", "reason", "records").alias("detail"))
+
+
 def should_publish(signal_rows: DataFrame) -> bool:
     """Q02: true unless a signal says failed."""
     return signal_rows.where("severity = 'failed'").isEmpty()

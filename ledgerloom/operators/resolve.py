@@ -58,14 +58,29 @@ def key_tier(forms: DataFrame, pool: DataFrame, form_key: str, pool_key: str) ->
 def containment_tier(forms: DataFrame, pool: DataFrame) -> DataFrame:
     """Scope, form, candidates whose token set strictly holds, or is strictly held by, the form's.
 
-    Sets meet on a shared token and are told by the size of their overlap, so there is no cross product.
+    The smaller set of such a pair lies wholly in the larger, its rarest token too; so each set offers only its rarest token, and is
+    sought by all its tokens, once from either side. A common token brings together only sets that have nothing rarer.
     """
-    a = forms.where(F.size("tokens") > 0).select("scope", "form", F.size("tokens").alias("na"), F.explode("tokens").alias("token"))
-    sets = pool.where(F.size("tokens") > 0).select("scope", "tokens").distinct()
-    b = sets.select("scope", "tokens", F.size("tokens").alias("nb"), F.explode("tokens").alias("token"))
-    met = a.join(b, ["scope", "token"]).groupBy("scope", "form", "na", "nb", "tokens").agg(F.count(F.lit(1)).alias("shared"))
-    strict = met.where((F.col("na") != F.col("nb")) & (F.col("shared") == F.least("na", "nb")))
-    return _ids(strict.join(pool.select("scope", "tokens", "member_id").distinct(), ["scope", "tokens"]))
+    a = forms.where(F.size("tokens") > 0).select("scope", "tokens").distinct()
+    b = pool.where(F.size("tokens") > 0).select("scope", "tokens").distinct()
+    each = a.unionByName(b).distinct().select("scope", F.explode("tokens").alias("token"))
+    rarity = staged(each.groupBy("scope", "token").agg(F.count(F.lit(1)).alias("n")), "resolve-rarity")
+
+    def spread(df: DataFrame, name: str) -> DataFrame:
+        return df.select("scope", F.col("tokens").alias(name), F.explode("tokens").alias("token"))
+
+    def rarest(df: DataFrame, name: str) -> DataFrame:
+        placed = spread(df, name).join(rarity, ["scope", "token"])
+        return placed.groupBy("scope", name).agg(F.min_by("token", F.struct("n", "token")).alias("token"))
+
+    held = spread(a, "ta").join(rarest(b, "tb"), ["scope", "token"])
+    holds = rarest(a, "ta").join(spread(b, "tb"), ["scope", "token"])
+    met = held.select("scope", "ta", "tb").unionByName(holds.select("scope", "ta", "tb")).distinct()
+    within = lambda x, y: F.size(F.array_except(x, y)) == 0
+    strict = met.where((F.size("ta") != F.size("tb")) & (within("ta", "tb") | within("tb", "ta")))
+    ids = pool.select("scope", F.col("tokens").alias("tb"), "member_id").distinct()
+    named = strict.join(ids, ["scope", "tb"]).select("scope", F.col("ta").alias("tokens"), "member_id")
+    return _ids(forms.select("scope", "form", "tokens").join(named, ["scope", "tokens"]))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -103,7 +118,9 @@ def near_keys(forms: DataFrame, pool: DataFrame, least: float = RATIO) -> DataFr
     places = F.when(high >= low, F.sequence(low, high))
     sought = sought.withColumn("place", F.explode(places)).select("scope", "normalised", "m", "i", F.substring("normalised", F.col("place") + 1, F.col("size")).alias("piece"))
     pairs = sought.distinct().join(pieces, ["scope", "m", "i", "piece"]).select("scope", "normalised", "key").distinct()
-    scored = pairs.withColumn("score", _ratio("key", "normalised"))
+    # What is matched stands in order on both sides, so no such pair is more edits apart than it has letters unmatched: told on the JVM first.
+    apart = F.floor(F.lit(share) * (F.length("key") + F.length("normalised")) + 1e-9)
+    scored = pairs.where(F.levenshtein("key", "normalised") <= apart).withColumn("score", _ratio("key", "normalised"))
     return scored.where(F.col("score") >= least)
 
 
@@ -143,7 +160,8 @@ def cascade(forms: DataFrame, pool: DataFrame, approximate: bool = True, contain
     forms, pool = staged(forms, "resolve-forms"), staged(pool, "resolve-pool")  # read once, however many tiers look at them
     left, parts = forms, []
     for method, (form_key, pool_key) in zip(TIERS[:3], (("form", "written"), ("normalised", "normalised"), ("reordered", "reordered")), strict=True):
-        hit = key_tier(left, pool, form_key, pool_key).select("scope", "form", "candidates", F.lit(method).alias("method"), F.lit(1.0).alias("score"))
+        # Staged, as each tier's hits are read again by every tier after it.
+        hit = staged(key_tier(left, pool, form_key, pool_key).select("scope", "form", "candidates", F.lit(method).alias("method"), F.lit(1.0).alias("score")), f"resolve-{method}")
         parts.append(hit)
         left = left.join(hit, ["scope", "form"], "left_anti")
     if approximate:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -80,10 +80,39 @@ def delta(c: Column) -> Column:
     return F.transform(c, lambda x, i: F.when(i == 0, x).otherwise(x - F.element_at(c, F.when(i == 0, 1).otherwise(i))))
 
 
-def undelta(c: Column) -> Column:
-    """Positions from their steps."""
-    zero = F.array().cast("array<bigint>")
-    return F.aggregate(c, zero, lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0).cast("bigint")) + x)))
+def decoded(rows: DataFrame, steps: str = "steps") -> DataFrame:
+    """Term and position of every posting, from rows (term, block, ``steps``): a running sum over the steps of a block, linear in their number."""
+    each = rows.select("term", "block", F.posexplode(steps).alias("at", "step"))
+    order = Window.partitionBy("term", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    return each.select("term", F.sum("step").over(order).alias("position"))
+
+
+#: Documents whose positions one block of a posting list covers.
+BLOCK = 65_536
+
+
+def blocked_postings(term_rows: DataFrame, placed: DataFrame, width: int = BLOCK) -> DataFrame:
+    """Term, block and steps: the positions of a term in a block of ``width`` documents, the first from 0, then the steps.
+
+    However many documents a term is in, no row holds more than ``width`` of them. Each block decodes by itself.
+    """
+    at = term_rows.join(placed.select("question_id", "position"), "question_id").select("term", F.floor(F.col("position") / width).alias("block"), "position")
+    listed = at.groupBy("term", "block").agg(F.array_sort(F.collect_list("position")).alias("postings"))
+    return listed.select("term", "block", delta(F.col("postings")).alias("steps"))
+
+
+def write_index(rows: DataFrame, placed: DataFrame, path: str) -> None:
+    """The blocked postings and the positions, as columnar tables sorted by what they are sought by, so that a reader skips the rest."""
+    rows.repartitionByRange("term").sortWithinPartitions("term", "block").write.mode("overwrite").parquet(f"{path}/postings")
+    placed.repartitionByRange("position").sortWithinPartitions("position").write.mode("overwrite").parquet(f"{path}/positions")
+
+
+def indexed_matches(spark: SparkSession, path: str, query: Query) -> DataFrame:
+    """question_id of the documents that have all words, from a written index; only the words' own postings are read."""
+    words = list(query.words)
+    rows = spark.read.parquet(f"{path}/postings").where(F.col("term").isin(*words) if words else F.lit(False))
+    hits = decoded(rows).groupBy("position").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == len(words)).select("position")
+    return hits.join(spark.read.parquet(f"{path}/positions").select("position", "question_id"), "position").select("question_id")
 
 
 def index_stats(term_rows: DataFrame, questions: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import is_missing, name_key
+from ledgerloom.functions.display import house_name, listed
+from ledgerloom.functions.text import is_missing, name_key, stated
 from ledgerloom.operators.aggregates import bucket
 
 STATUS_COUNTS = ("fully_linked", "partly_linked", "not_linked", "ambiguous")
@@ -23,12 +24,15 @@ def first_of_each(questions: DataFrame) -> DataFrame:
 
 
 def extract(questions: DataFrame, members: DataFrame | None = None, **axis: str) -> DataFrame:
-    """The questions of exactly one axis: session, ministry, member, state or constituency.
+    """The questions of exactly one axis: session (and house), ministry, member, state or constituency.
 
     State and constituency go through the members that bear them (compared without case and blanks): a semi-join on a distinct id list.
     """
-    if len(axis) != 1:
-        raise ValueError("exactly one axis")
+    if set(axis) == {"house", "session"}:
+        house = axis.pop("house")
+        questions = questions.where(F.col("house") == house)
+    if len(axis) != 1 or "house" in axis:
+        raise ValueError("exactly one axis; a house goes with a session only")
     kind, value = next(iter(axis.items()))
     if kind == "session":
         return questions.where(F.col("session") == value)
@@ -83,13 +87,39 @@ def dense_span(profile: DataFrame, session_rows: DataFrame, ministry: str) -> Da
 
 
 def span_totals(dense: DataFrame) -> DataFrame:
-    """One row: questions, status counts, sessions, sessions_with_questions, balanced (status counts add up)."""
+    """One row: questions, status counts, sessions, sessions_with_questions, balanced (status counts add up); see ``checked_totals``."""
     total = dense.agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("questions", *STATUS_COUNTS)], F.count(F.lit(1)).alias("sessions"), F.count_if(F.col("questions") > 0).alias("sessions_with_questions")
     )
     return total.withColumn("balanced", F.col("questions") == sum((F.col(c) for c in STATUS_COUNTS[1:]), F.col(STATUS_COUNTS[0])))
 
 
+def checked_totals(totals: DataFrame) -> DataFrame:
+    """``span_totals`` that raises where its status counts do not add up."""
+    row = totals.where("not balanced").first()
+    if row:
+        raise StatusSumMismatch(f"{row.questions} questions, {sum(row[c] for c in STATUS_COUNTS)} by status")
+    return totals
+
+
+def span_types(mix: DataFrame, session_rows: DataFrame, ministry: str) -> DataFrame:
+    """By type, the first and the last session of a span: type, first_questions, last_questions, difference, first_share, last_share.
+
+    ``mix`` has ministry_id, session, type and questions. Types that occur anywhere in the span are listed; shares are of the session's own
+    questions, in per cent, null where it has none.
+    """
+    order = session_order(F.col("session"))
+    ends = session_rows.agg(F.min_by("session", order).alias("__first"), F.max_by("session", order).alias("__last"))
+    own = mix.where(F.col("ministry_id") == ministry).join(session_rows.select("session"), "session", "left_semi").join(F.broadcast(ends))
+    at = lambda end: F.coalesce(F.sum(F.when(F.col("session") == F.col(end), F.col("questions"))), F.lit(0))
+    by_type = own.groupBy("type").agg(at("__first").alias("first_questions"), at("__last").alias("last_questions"))
+    whole = own.agg(at("__first").alias("__a"), at("__last").alias("__b"))
+    return by_type.join(F.broadcast(whole)).select(
+        "type", "first_questions", "last_questions", (F.col("last_questions") - F.col("first_questions")).alias("difference"),
+        share(F.col("first_questions"), F.col("__a")).alias("first_share"), share(F.col("last_questions"), F.col("__b")).alias("last_share"),
+    )
+
+
 def change(first: Column, last: Column) -> tuple[Column, Column]:
     """The difference, and it in per cent of the first (null if that is 0)."""
     return last - first, F.round(F.try_divide((last - first) * 100.0, first), 4)
@@ -134,6 +164,88 @@ def seats_matching(seat_rows: DataFrame, text: str, limit: int = 12) -> DataFram
     return seat_rows.where(key.contains(t)).orderBy((key != t).cast("int"), "name", "state", "seat_id").limit(limit)
 
 
+def seat_lookup(seat_rows: DataFrame, reps: DataFrame, questions: DataFrame, name: str) -> DataFrame:
+    """Every seat of a name with its members, their terms and their questions by status: one row a (seat, member)."""
+    own = seats_named(seat_rows, name).select("seat_id", "name", "state", "changed_hands")
+    held = seat_history(reps.join(own.select("seat_id"), "seat_id", "left_semi")).drop("changed_hands")
+    asked = first_of_each(questions).select("question_id", "resolution_status", "asking_members", F.explode(F.array_distinct("asking_members")).alias("member_id"))
+    asked = asked.join(held.select("member_id").distinct(), "member_id", "left_semi").withColumn("__b", bucket(F.col("resolution_status"), F.col("asking_members")))
+    counts = asked.groupBy("member_id").agg(F.count(F.lit(1)).alias("questions"), *[F.count_if(F.col("__b") == n).alias(n) for n in STATUS_COUNTS])
+    return own.join(held, "seat_id").join(counts, "member_id", "left").na.fill(0, ["questions", *STATUS_COUNTS])
+
+
+def state_summary(rows: DataFrame, state: str) -> DataFrame:
+    """The published subjects of a state (compared without case and blanks) in their order; no rows where it has none."""
+    own = rows.where(name_key(F.col("state")) == " ".join(state.lower().split()))
+    return own.withColumn("subject", stated(F.col("subject"))).orderBy("place")
+
+
+def subject_sessions(trends: DataFrame, subject: str) -> DataFrame:
+    """A subject's questions by session, in the order of the sessions."""
+    return in_session_order(trends.where(F.col("subject") == subject))
+
+
+def in_session_order(df: DataFrame, newest_first: bool = False) -> DataFrame:
+    """By term and number, not by text; ids of another form come last, and none is dropped."""
+    term, number = session_order(F.col("session"))["term"], session_order(F.col("session"))["number"]
+    way = F.desc_nulls_last if newest_first else F.asc_nulls_last
+    good = term.isNotNull() & number.isNotNull()
+    return df.orderBy(F.desc(good), way(F.when(good, term)), way(F.when(good, number)), "session")
+
+
+def in_category_order(composed: DataFrame) -> DataFrame:
+    """Whole numbers before words within a dimension, both compared as text."""
+    return composed.orderBy("dimension", F.col("category").try_cast("bigint").isNull(), "category")
+
+
+def in_locale_order(df: DataFrame, *columns: str) -> DataFrame:
+    """Alphabetical as a reader expects it (case and accents weigh less than letters), ties by code point."""
+    return df.orderBy(*[F.collate(F.col(c), "UNICODE") for c in columns], *columns)
+
+
+def in_term(df: DataFrame, term: int) -> DataFrame:
+    """rows whose session is of the term."""
+    return df.where(session_order(F.col("session"))["term"] == term)
+
+
+def outside_terms(df: DataFrame, terms: list[int]) -> DataFrame:
+    """rows of the terms and outside of them: inside, outside (sessions without a term among these)."""
+    own = F.coalesce(session_order(F.col("session"))["term"].isin(*terms), F.lit(False))
+    return df.agg(F.count_if(own).alias("inside"), F.count_if(~own).alias("outside"))
+
+
+def in_session_range(df: DataFrame, text: str, term: int | None = None) -> DataFrame:
+    """rows whose session number is in a range such as "5-8", of one term if it is given."""
+    low, high = parse_sessions(text)
+    rows = df.where(session_order(F.col("session"))["number"].between(low, high))
+    return rows if term is None else in_term(rows, term)
+
+
+def with_basis(rows: DataFrame, basis: DataFrame, unit: str = "counting_basis_unit") -> DataFrame:
+    """Rows with the wording and version of their unit's counting basis; null for a unit without one, "question" where none is named."""
+    said = basis.select(F.col("unit").alias("__unit"), "basis_version", "counting_basis")  # a handful of units
+    own = F.coalesce(F.col(unit), F.lit("question")) if unit in rows.columns else F.lit("question")
+    return rows.withColumn("__own", own).join(F.broadcast(said), F.col("__own") == F.col("__unit"), "left").drop("__own", "__unit")
+
+
+def covered_houses(coverage_rows: DataFrame) -> DataFrame:
+    """The houses that carry questions, most questions first."""
+    return coverage_rows.where("questions > 0").orderBy(F.desc("questions"), "house")
+
+
+def uncovered_houses(coverage_rows: DataFrame) -> DataFrame:
+    """house, name and reason (null where none is stated) of the houses without questions."""
+    return coverage_rows.where("coalesce(questions, 0) <= 0").select("house", house_name(F.col("house")).alias("name"), F.when(~is_missing(F.col("reason")), F.col("reason")).alias("reason"))
+
+
+def houses_claim(coverage_rows: DataFrame) -> DataFrame:
+    """Q16: one row, claim: which houses are covered, in words drawn from the rows. Houses are few by nature."""
+    names = F.array_sort(F.collect_set(house_name(F.col("house"))))
+    own = coverage_rows.where("questions > 0").agg(names.alias("names"))
+    n = F.size("names")
+    return own.select(F.when(n == 0, "No House is covered").when(n == 1, F.concat(F.get("names", F.lit(0)), F.lit(" only"))).otherwise(listed(F.col("names"))).alias("claim"))
+
+
 def states_in(reps: DataFrame) -> DataFrame:
     """State, seats, members."""
     return reps.groupBy("state").agg(F.countDistinct("seat_id").alias("seats"), F.countDistinct("member_id").alias("members"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("parliament", "published", "resolution", "rebuild")
+MODULES = ("parliament", "published", "resolution", "rebuild", "reading")
 
 
 def _gather(attribute: str) -> dict:

@@ -38,9 +38,22 @@ def members(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def window_terms(spark: SparkSession, root: str) -> list[int]:
+    """The terms the questions are of, that the roster has members of: the window. A handful of numbers."""
+    asked = table(spark, root, "shared_ques_no").select(present(F.col("lokNo")).try_cast("int").alias("term")).where("term is not null").distinct()
+    served = table(spark, root, "constituencies").select(F.explode(ingest.terms_served(F.col("lsExpr"))).alias("term")).distinct()
+    return sorted(r.term for r in asked.join(served, "term").collect())
+
+
+def asker_names(asked: DataFrame, known: DataFrame) -> DataFrame:
+    """The names a result list needs: member_id and canonical_name of every member who asks."""
+    ids = asked.select(F.explode("asking_members").alias("member_id")).distinct()
+    return ids.join(known.select("member_id", F.coalesce("name", "member_id").alias("canonical_name")), "member_id")
+
+
 def seats(spark: SparkSession, root: str) -> DataFrame:
-    """The representations of the window's two terms."""
-    return dimensions.in_window(dimensions.representations(members(spark, root)), [17, 18])
+    """The representations of the window's terms."""
+    return dimensions.in_window(dimensions.representations(members(spark, root)), window_terms(spark, root))
 
 
 def states(spark: SparkSession, root: str) -> DataFrame:
@@ -136,6 +149,6 @@ with q as (
 ), terms as (select distinct question_id, t as term from (select question_id, unnest({tokens_sql("subject")}) as t from q)
 ), reps as (
   select distinct case when {slug_sql("state")} = {slug_sql("seat")} then {slug_sql("seat")} else {slug_sql("state")} || '-' || {slug_sql("seat")} end as seat_id, seat, state, member_id, name as member_name, party, term
-  from (select *, unnest(terms) as term from m where seat is not null) where term in (17, 18)
+  from (select *, unnest(terms) as term from m where seat is not null) where term in (select distinct try_cast(trim(lokNo) as int) from shared_ques_no)
 )
 """

@@ -107,7 +107,7 @@ def ingest_observed_fields(spark: SparkSession, root: str) -> DataFrame:
     return ingest.observed_fields(table(spark, root, "events"), "props")
 
 
-@query("select f as field, c as change, s as severity from (values ('k', 'added', 'notice'), ('q', 'missing', 'degraded')) v(f, c, s)", star=False)
+@query("with k as (select distinct unnest(json_keys(props)) as f from events), r as (select unnest(['q']) as f) select coalesce(k.f, r.f) as field, case when k.f is null then 'missing' else 'added' end as change, case when k.f is null then 'degraded' else 'notice' end as severity from k full join r on k.f = r.f where k.f is null or r.f is null", star=False)
 def ingest_shape_diff(spark: SparkSession, root: str) -> DataFrame:
     """Q01: the events' keys against a recorded shape."""
     return ingest.shape_diff(ingest.observed_fields(table(spark, root, "events"), "props"), ["q"])
@@ -249,7 +249,7 @@ def composition_grouping_sets(spark: SparkSession, root: str) -> DataFrame:
     return aggregates.composition_sets(facts.members(spark, root), 17)
 
 
-@query("select 17 as term, 'party' as dimension, 0 as members, 0 as total_members where false")
+@query(f", {_COMP}, t as (select count(*) as n from m where list_contains(terms, 17)) select 17 as term, dimension, cast(sum(members) as bigint) as members, n as total_members from comp, t group by dimension, n having sum(members) <> n")
 def composition_reconcile(spark: SparkSession, root: str) -> DataFrame:
     """Q09: dimensions that do not add up: none."""
     return aggregates.unreconciled(composition(spark, root))
@@ -298,7 +298,7 @@ def global_counters(spark: SparkSession, root: str) -> DataFrame:
     return aggregates.counters(facts.questions(spark, root)).withColumn("max_askers", F.col("max_askers").cast("bigint"))
 
 
-@query()
+@query("select 'question' as unit, '1' as basis_version, 'Each of ' || count(*) || ' questions counts once; ' || count(*) filter (len(list_distinct(asking_members)) > 1) || ' of them have several askers, at most ' || max(len(list_distinct(asking_members))) || '.' as counting_basis from q union all select 'member', '1', 'Each member of a term counts once in every dimension, under ''not stated'' where a value is missing.' union all select 'state-question', '1', 'A question counts once for each state of its identified askers; ' || count(*) filter (resolution_status = 'unresolved') || ' unresolved ones may count for none.' from q")
 def counting_basis(spark: SparkSession, root: str) -> DataFrame:
     """Q15: how each unit is counted, in words with live figures."""
     return aggregates.counting_basis(aggregates.counters(facts.questions(spark, root)))
@@ -330,12 +330,11 @@ def index_delta_encoded(spark: SparkSession, root: str) -> DataFrame:
     return search.postings(search.terms(q), search.positions(q)).select("term", F.array_join(search.delta(F.col("postings")), ",").alias("steps"))
 
 
-@query("select 'x' as term where false", star=False)
+@query(f", {_POS} select term, position from terms join pos using (question_id)")
 def index_delta_roundtrip(spark: SparkSession, root: str) -> DataFrame:
-    """Terms whose decoded steps differ from their postings: none."""
+    """Every posting, decoded from the blocks of steps."""
     q = facts.questions(spark, root)
-    rows = search.postings(search.terms(q), search.positions(q))
-    return rows.where(search.undelta(search.delta(F.col("postings"))) != F.col("postings")).select("term")
+    return search.decoded(search.blocked_postings(search.terms(q), search.positions(q)))
 
 
 @query(f", {_POS} select prefix, row_number() over (order by min(position)) - 1 as place, count(*) as documents from pos group by 1")
@@ -357,7 +356,7 @@ def search_and(spark: SparkSession, root: str) -> DataFrame:
     return search.matches(search.terms(facts.questions(spark, root)), search.parse_query(WORDS))
 
 
-@query("select 'xylophones' as term", star=False)
+@query("select w as term from (select unnest(['solar', 'xylophones']) as w) where w not in (select term from terms)")
 def search_missing_words(spark: SparkSession, root: str) -> DataFrame:
     """Words of a query no question has."""
     return search.missing_words(search.terms(facts.questions(spark, root)), search.parse_query("solar xylophones of the"))
@@ -424,11 +423,11 @@ def extract_state(spark: SparkSession, root: str) -> DataFrame:
     return views.extract(facts.questions(spark, root), facts.members(spark, root), state="Goluvana").select("question_id")
 
 
-@query("select distinct question_id from bridge join m using (member_id) where lower(" + collapse_sql("m.seat") + ") = 'bebabhat'")
+@query("select distinct question_id from bridge join m using (member_id) where lower(" + collapse_sql("m.seat") + ") = 'pebagadh west'")
 def extract_constituency(spark: SparkSession, root: str) -> DataFrame:
     """Questions of a seat's members."""
     members = facts.members(spark, root).withColumnRenamed("seat", "constituency")
-    return views.extract(facts.questions(spark, root), members, constituency="Bebabhat").select("question_id")
+    return views.extract(facts.questions(spark, root), members, constituency="Pebagadh West").select("question_id")
 
 
 _DENSE = f"dense as (select s.session, coalesce(questions, 0) as questions, coalesce(fully_linked, 0) as fully_linked, coalesce(partly_linked, 0) as partly_linked, coalesce(not_linked, 0) as not_linked, coalesce(ambiguous, 0) as ambiguous from (select distinct session from q where regexp_matches(session, '^[^/]+/\\d+/\\d+$') and cast(split_part(session, '/', 2) as int) * 1000 + cast(split_part(session, '/', 3) as int) between 17003 and 18002) s left join (select * from prof where ministry_id = '{MINISTRY}') p on p.session = s.session)"
@@ -507,7 +506,7 @@ def profile_named(spark: SparkSession, root: str) -> DataFrame:
 # Audits
 
 
-@query("select 'x' as ministry_id, 'x' as session, 0 as left_value, 0 as right_value where false", star=False)
+@query("select p.ministry_id, p.session, p.questions as left_value, r.n as right_value from prof p full join (select ministry_id, session, count(distinct question_id) as n from q group by all) r on r.ministry_id = p.ministry_id and r.session is not distinct from p.session where p.questions is distinct from r.n")
 def report_recount_diff(spark: SparkSession, root: str) -> DataFrame:
     """Published counts against a recount from the raw rows: no difference."""
     q = facts.questions(spark, root)

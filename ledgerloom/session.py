@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import io
 import pathlib
+import re
 import shutil
 import tempfile
 import uuid
@@ -32,15 +33,20 @@ def build_session(app: str = "ledgerloom", master: str | None = None, **conf: st
 
 
 _OWN: list[str] = []
+#: Tables staged by this process and not yet deleted.
+_STAGED: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests, a laptop) a local folder takes its place, for as long as the process lives.
+    Only where the setting is absent and the master is local (tests, a laptop) a local folder takes its place, for as long as the process
+    lives; on a cluster each machine would have a folder of its own, so its absence is an error there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         if not _OWN:
             _OWN.append(tempfile.mkdtemp(prefix="ledgerloom-"))
             atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
@@ -64,9 +70,24 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    if not _STAGED:
+        atexit.register(release, spark)
+    _STAGED.append(path)
     return spark.read.parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Deletes the tables staged so far: to be called once the results that read them are written. Also done as the process ends."""
+    context = spark.sparkContext
+    while _STAGED:
+        path = _STAGED.pop()
+        try:
+            where = context._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception:  # noqa: BLE001 - the session is gone; what is left expires with the folder
+            _STAGED.clear()
+
+
 def ship(spark: SparkSession) -> None:
     """The package made known to the executors' Python workers, once a session: a zip in the shared folder."""
     context = spark.sparkContext

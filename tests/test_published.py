@@ -119,8 +119,10 @@ def test_search(spark, questions):
     assert search.page(lost, search.digest(questions)).first().not_in_digest
     placed = search.positions(questions)
     assert sorted(r.position for r in placed.collect()) == [0, 1, 2, 3, 4]
-    rows = search.postings(terms, placed)
-    assert rows.where(search.undelta(search.delta(F.col("postings"))) != F.col("postings")).count() == 0
+    want = {(r.term, r.position) for r in terms.join(placed, "question_id").collect()}
+    for width in (1, 2, 1000):
+        rows = search.blocked_postings(terms, placed, width)
+        assert {(r.term, r.position) for r in search.decoded(rows).collect()} == want and rows.where(F.size("steps") > width).count() == 0
     assert [r.place for r in search.prefix_dictionary(placed).orderBy("prefix").collect()] == [0, 1, 2]
 
 
@@ -179,9 +181,12 @@ def test_csv_and_ndjson_round_trip(spark, tmp_path):
 
 def test_partitions(spark, questions, tmp_path):
     path = f"file://{tmp_path}/by"
-    publish.write_partitions(questions, "asking_members", path)
-    back = spark.read.json(path)
-    assert {r.part_key: r["count"] for r in back.groupBy("part_key").count().collect()} == {"m1": 2, "m2": 1, "m3": 1}
+    for buckets in (None, 2):
+        n = publish.write_partitions(questions, "asking_members", f"{path}{buckets}", buckets=buckets)
+        back = spark.read.json(f"{path}{buckets}/ndjson")
+        assert {r.part_key: r["count"] for r in back.groupBy("part_key").count().collect()} == {"m1": 2, "m2": 1, "m3": 1} and n == 4
+        assert spark.read.options(**publish.CSV).csv(f"{path}{buckets}/csv").count() == 4
+        assert sorted(r.part_key for r in publish.read_partition(spark, f"{path}{buckets}", "m1", buckets).collect()) == ["m1", "m1"]
     clash = spark.createDataFrame([("1", "a/b"), ("2", "a-b")], "question_id string, s string")
     with pytest.raises(publish.PublishError):
         publish.write_partitions(clash, "s", path + "2")
@@ -189,12 +194,46 @@ def test_partitions(spark, questions, tmp_path):
         publish.manifest({}, "now", licence="mine")
 
 
-def test_last_known_good(spark, tmp_path):
+def test_last_known_good(spark, tmp_path, monkeypatch):
     new, cur = f"file://{tmp_path}/new", f"file://{tmp_path}/cur"
     spark.range(1).write.json(f"{new}/set")
     assert not publish.promote(spark, new, cur, ["set"])
     publish.write_manifest(spark, {"a": 1}, new)
     assert publish.promote(spark, new, cur, ["set"]) and publish.inspect_previous(spark, cur, ["set"]) == []
+    # The second rename fails: the old snapshot is back in its place, whole.
+    spark.range(2).write.json(f"{new}/set")
+    publish.write_manifest(spark, {"a": 2}, new)
+    fs, hadoop = publish._fs(spark, cur)
+
+    class Failing:
+        def __init__(self, error):
+            self.calls, self.error = 0, error
+
+        def rename(self, a, b):
+            self.calls += 1
+            if self.calls == 2:
+                if self.error:
+                    raise OSError("no such luck")
+                return False
+            return fs.rename(a, b)
+
+        def __getattr__(self, name):
+            return getattr(fs, name)
+
+    for error in (False, True):
+        monkeypatch.setattr(publish, "_fs", lambda *a, f=Failing(error): (f, hadoop))
+        assert not publish.promote(spark, new, cur, ["set"]) and spark.read.json(f"{cur}/set").count() == 1
+        assert publish.read_manifest(spark, cur) == {"a": 1} and publish.exists(spark, new)
+    monkeypatch.undo()
+    # A run that died between the two renames: the next one starts by putting the old snapshot back.
+    fs.rename(hadoop.Path(cur), hadoop.Path(f"{cur}.old"))
+    assert not publish.promote(spark, f"{new}.none", cur, ["set"]) and publish.read_manifest(spark, cur) == {"a": 1}
+    assert publish.promote(spark, new, cur, ["set"]) and publish.read_manifest(spark, cur) == {"a": 2} and not publish.exists(spark, f"{cur}.old")
+    assert publish.inspect_previous(spark, cur, ["set"], ("set",)) == [] and publish.inspect_previous(spark, cur, ["set"], ("none",)) == ["any question file"]
+    (tmp_path / "cur" / "manifest.json").write_text("{")
+    (tmp_path / "cur" / ".manifest.json.crc").unlink(missing_ok=True)
+    assert publish.inspect_previous(spark, cur, ["set"]) == ["manifest.json (unreadable)"]
+    assert publish.remove(spark, cur) and not publish.remove(spark, cur)
     kept = publish.retain_previous(spark.createDataFrame([("h",)], "house string"), "outage", "2026-01-01").first()
     assert (kept.freshness, kept.retained_reason) == ("last-known-good", "outage")
 
@@ -202,5 +241,68 @@ def test_last_known_good(spark, tmp_path):
 def test_cli(spark, tmp_path, small):
     from ledgerloom import cli
 
-    assert cli.main(["--source", small, "--published-dir", f"file://{tmp_path}/pub", "--no-approximate"]) == 0
-    assert publish.inspect_previous(spark, f"file://{tmp_path}/pub", cli.REQUIRED) == []
+    pub = f"file://{tmp_path}/pub"
+    common = ["--source", small, "--published-dir", pub, "--no-approximate"]
+    assert cli.main([*common, "--accept-differing"]) == 0
+    assert publish.inspect_previous(spark, pub, cli.REQUIRED, cli.QUESTIONS) == []
+    first = publish.read_manifest(spark, pub)
+    assert first["provenance"]["mode"] == "built"
+    # A build that fails keeps the snapshot and stamps its coverage.
+    assert cli.main(["--source", f"{small}/none", "--published-dir", pub]) == 1
+    assert publish.read_manifest(spark, pub) == first
+    said = spark.read.json(f"{pub}/coverage/ndjson").first()
+    assert said.freshness == "last-known-good" and said.retained_reason and not publish.exists(spark, f"{pub}/coverage.old")
+    # The same into a new place, from a named previous snapshot.
+    other = f"file://{tmp_path}/other"
+    assert cli.main(["--source", f"{small}/none", "--published-dir", other, "--previous", pub]) == 1
+    assert publish.inspect_previous(spark, other, cli.REQUIRED, cli.QUESTIONS) == []
+    # A complete build left over is taken up only when asked for.
+    publish._fs(spark, pub)[0].rename(publish._fs(spark, pub)[1].Path(other), publish._fs(spark, pub)[1].Path(f"{pub}.building"))
+    assert cli.main([*common, "--resume"]) == 0
+    assert publish.read_manifest(spark, pub)["provenance"] == {"mode": "resumed", "written_at": first["last_refreshed"]}
+
+
+def test_failed_signals_stop_publishing(spark):
+    checks = spark.createDataFrame([("identity", "records without an identity", 0), ("deduplication", "questions whose copies differ", 2), ("x", "y", None)], "stage string, reason string, records bigint")
+    failed = quality.ingestion_failures(checks)
+    assert [r.detail for r in failed.collect()] == ["deduplication: questions whose copies differ (2 records)"]
+    assert not quality.should_publish(failed) and quality.should_publish(quality.ingestion_failures(checks.where("stage <> 'deduplication'")))
+
+
+def test_span_totals_that_do_not_add_up_raise(spark):
+    good = spark.createDataFrame([("h/17/1", 2, 1, 1, 0, 0)], "session string, questions int, fully_linked int, partly_linked int, not_linked int, ambiguous int")
+    assert views.checked_totals(views.span_totals(good)).first().questions == 2
+    with pytest.raises(views.StatusSumMismatch):
+        views.checked_totals(views.span_totals(good.withColumn("questions", F.lit(3))))
+
+
+def test_orders_and_claims(spark):
+    s = spark.createDataFrame([("h/17/10",), ("odd",), ("h/17/2",), ("h/18/1",)], "session string")
+    assert [r.session for r in views.in_session_order(s).collect()] == ["h/17/2", "h/17/10", "h/18/1", "odd"]
+    assert [r.session for r in views.in_session_order(s, newest_first=True).collect()] == ["h/18/1", "h/17/10", "h/17/2", "odd"]
+    c = spark.createDataFrame([("d", x) for x in ("b", "10", "2", "a")], "dimension string, category string")
+    assert [r.category for r in views.in_category_order(c).collect()] == ["10", "2", "a", "b"]
+    n = spark.createDataFrame([("Zebra",), ("apple",), ("Éclair",), ("Banana",)], "name string")
+    assert [r.name for r in views.in_locale_order(n, "name").collect()] == ["apple", "Banana", "Éclair", "Zebra"]
+    rows = spark.createDataFrame([("lok-sabha", 5, None), ("rajya-sabha", 7, None), ("third-house", 0, "not stated")], "house string, questions int, reason string")
+    assert views.houses_claim(rows).first().claim == "Lok Sabha and Rajya Sabha" and views.houses_claim(rows.limit(0)).first().claim == "No House is covered"
+    assert [r.house for r in views.covered_houses(rows).collect()] == ["rajya-sabha", "lok-sabha"]
+    assert [tuple(r) for r in views.uncovered_houses(rows).collect()] == [("third-house", "Third House", None)]
+    basis = spark.createDataFrame([("question", "1", "counted once")], "unit string, basis_version string, counting_basis string")
+    assert {r.counting_basis for r in views.with_basis(rows, basis).collect()} == {"counted once"}
+
+
+def test_display(spark):
+    from ledgerloom.functions import display
+
+    one = lambda kind, make, *values: [r.x for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}").orderBy("i").select(make(F.col("v")).alias("x")).collect()]
+    assert one("double", display.count, 0.0, 999.5, 1234567.0, -1234567.0, 100000.0, None, float("nan"), float("inf")) == ["0", "1,000", "12,34,567", "-12,34,567", "1,00,000", *["not stated"] * 3]
+    assert one("double", display.percent, 0.5, 0.90625, None) == ["50.00%", "90.63%", "not stated"]
+    assert one("string", display.day, "2019-06-21", "2019-13-01", "21.06.2019", None) == ["21 Jun 2019", *["not stated"] * 3]
+    assert one("int", display.ordinal, 1, 2, 3, 4, 11, 12, 13, 21, 111, None) == ["1st", "2nd", "3rd", "4th", "11th", "12th", "13th", "21st", "111th", "not stated"]
+    assert one("string", display.session_label, "lok-sabha/17/4", "odd", None) == ["17th LS · Session 4", "odd", "not stated"]
+    assert one("string", display.session_file_name, "lok-sabha/17/4/starred/12", None) == ["lok-sabha-17-4.jsonl", None]
+    assert one("string", display.https_only, "https://x", "http://x", None) == ["https://x", None, None]
+    parts = one("string", display.question_parts, "h/17/4/s/12", "h/17/4/s/x", "h/17/4", "h/a/4/s/1")
+    assert parts[0].number == 12 and parts[1].number is None and parts[1].type == "s" and parts[2] is None and parts[3] is None
+    assert one("array<int>", display.terms_phrase, [17, 18], [18], [16, 17, None, 18], [], None) == ["17th and 18th Lok Sabha", "18th Lok Sabha", "16th, 17th and 18th Lok Sabha", "not stated", "not stated"]
