@@ -3,17 +3,20 @@
 A parent row stands from its start (inclusive) until its end (exclusive). A reference at time t is an orphan when no
 row of its key stands at t: ``missing`` if no row has the key, ``late`` if all its rows begin after t, else ``deleted``.
 
-State between batches, each part keyed by (target, key):
+State between batches, each part in ``BUCKETS`` folders by a hash of (target, key):
 
+* ``rows``: the parent rows as they are known,
 * ``parents``: one row per key with the spans of its rows - the probe index,
-* ``settled``: references a standing row was found for,
-* ``pending``: references still without one, with their kind.
+* ``judged``: references with their kind; null (settled) where a standing row was found, else pending.
 
 A batch brings new references, new parent rows and changed ones: a row of known key and start replaces those that
 earlier batches brought, so a withdrawal is the row again with its end. New
 references probe the index; references, pending or settled, whose key the batch touched probe it again - so an arriving
-parent resolves the orphans that wait for it and a deletion reopens those it had resolved. All others stay where they
-are. ``snapshot`` counts the pending ones by table and period at any time.
+parent resolves the orphans that wait for it and a deletion reopens those it had resolved. ``snapshot`` counts the pending ones by table and
+period at any time.
+
+Cost. Of a batch, only the buckets its keys fall in are read. Those with parent rows are written anew; those with references alone only
+get a folder more. All others keep their folders: the driver holds a list of folders, not of rows.
 
 Skew. The index has one row per key. It is joined as ``lookup_join`` says - broadcast only when counted small, else
 salted - so a key with a third of all references is spread over many tasks.
@@ -25,15 +28,16 @@ Repeated references and repeated parent rows count once. Empty tables give empty
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerloom.functions.text import present
 from ledgerloom.operators.joins import lookup_join
-from ledgerloom.session import staged
+from ledgerloom.session import staged, staged_by
 
 REFERENCE = ["source_table", "period", "row_key", "ref_field", "target", "ref_value", "at"]
 KEY = ["target", "ref_value"]
@@ -104,14 +108,47 @@ def probe(refs: DataFrame, parents: DataFrame) -> DataFrame:
     return found.withColumn("kind", kind).drop("spans")
 
 
+#: Folders each part of the state has.
+BUCKETS = 16
+_BUCKET = "bucket"
+ROWS = "target string, ref_value string, start timestamp_ntz, end timestamp_ntz"
+SCHEMAS = {
+    "rows": ROWS,
+    "parents": "target string, ref_value string, spans array<struct<start:timestamp_ntz,end:timestamp_ntz>>",
+    "judged": "source_table string, period string, row_key string, ref_field string, target string, ref_value string, at timestamp_ntz, kind string",
+}
+
+
+def _bucketed(df: DataFrame) -> DataFrame:
+    return df.withColumn(_BUCKET, F.pmod(F.xxhash64(*KEY), F.lit(BUCKETS)).cast("int"))
+
+
+def _buckets_of(df: DataFrame) -> set[str]:
+    return {str(r[0]) for r in _bucketed(df).select(_BUCKET).distinct().collect()}  # at most BUCKETS numbers
+
+
 @dataclass(frozen=True)
 class OrphanState:
-    """The state between batches; see the module."""
+    """The state between batches: for each part, the folders of each bucket; see the module."""
+
+    spark: SparkSession
+    folders: dict[str, dict[str, tuple[str, ...]]]
+
+    def read(self, part: str, buckets: set[str] | None = None) -> DataFrame:
+        """The rows of a part, of all buckets or of some."""
+        paths = [f for b, own in sorted(self.folders.get(part, {}).items()) if buckets is None or b in buckets for f in own]
+        reader = self.spark.read.schema(SCHEMAS[part])
+        return reader.parquet(*paths) if paths else self.spark.createDataFrame([], SCHEMAS[part])
 
-    rows: DataFrame
-    parents: DataFrame
-    settled: DataFrame
-    pending: DataFrame
+    @property
+    def pending(self) -> DataFrame:
+        """References without a standing row, with their kind."""
+        return self.read("judged").where("kind is not null")
+
+    @property
+    def settled(self) -> DataFrame:
+        """References a standing row was found for."""
+        return self.read("judged").where("kind is null").drop("kind")
 
     def snapshot(self) -> DataFrame:
         """Orphans now: source_table, ref_field, period, kind, orphans."""
@@ -120,21 +157,36 @@ class OrphanState:
 
 def advance(state: OrphanState | None, refs: DataFrame, rows: DataFrame) -> OrphanState:
     """The state after one more batch of references and parent rows (new ones, or known ones with an end)."""
-    refs = refs.select(*REFERENCE).distinct()
-    if state is None:
-        parents = staged(index(rows), "orphan-parents")
-        judged = staged(probe(refs, parents), "orphan-judged")
-        return OrphanState(rows, parents, judged.where("kind is null").drop("kind"), judged.where("kind is not null"))
-    touched = rows.select(*KEY).distinct()
-    anew = rows.select(*KEY, F.col("start").alias("__start")).distinct()
-    same = [state.rows[k] == anew[k] for k in KEY] + [state.rows["start"].eqNullSafe(anew["__start"])]
-    every = staged(state.rows.join(anew, same, "left_anti").unionByName(rows).distinct(), "orphan-rows")
-    renewed = index(every.join(touched, KEY, "left_semi"))
-    parents = staged(state.parents.join(touched, KEY, "left_anti").unionByName(renewed), "orphan-parents")
-    known = state.settled.withColumn("kind", F.lit(None).cast("string")).unionByName(state.pending)
-    again = known.join(touched, KEY, "left_semi").drop("kind").unionByName(refs).distinct()
-    judged = staged(
-        known.join(touched, KEY, "left_anti").unionByName(probe(again, parents)).groupBy(*REFERENCE).agg(F.max("kind").alias("kind")),
-        "orphan-judged",
-    )
-    return OrphanState(every, parents, judged.where("kind is null").drop("kind"), judged.where("kind is not null"))
+    state = state or OrphanState(refs.sparkSession, {})
+    refs, rows = staged(refs.select(*REFERENCE).distinct(), "orphan-refs"), staged(rows.select("target", "ref_value", "start", "end").distinct(), "orphan-batch")
+    touched, asked = _buckets_of(rows), _buckets_of(refs)
+    folders = {part: dict(own) for part, own in state.folders.items()}
+
+    def put(part: str, df: DataFrame, anew: set[str]) -> None:
+        own = folders.setdefault(part, {})
+        for b in anew:
+            own.pop(b, None)
+        for b, folder in staged_by(_bucketed(df), _BUCKET, f"orphan-{part}").items():
+            own[b] = (*own.get(b, ()), folder)
+
+    if touched:
+        old, anew = state.read("rows", touched), rows.select(*KEY, F.col("start").alias("__start")).distinct()
+        same = [old[k] == anew[k] for k in KEY] + [old["start"].eqNullSafe(anew["__start"])]
+        now = old.join(anew, same, "left_anti").unionByName(rows) if state.folders.get("rows") else rows
+        with ThreadPoolExecutor(2) as both:
+            for job in [both.submit(put, "rows", now, touched), both.submit(put, "parents", index(now), touched)]:
+                job.result()
+    after = OrphanState(state.spark, folders)
+    known = state.read("judged", touched | asked)
+    if not state.folders.get("judged"):
+        put("judged", probe(refs, after.read("parents", touched | asked)), touched)
+        return OrphanState(state.spark, folders)
+    # One row a reference: what is known stays as it is unless its key was touched, when it is probed again with what is new.
+    keys = lookup_join(known, rows.select(*KEY).distinct().withColumn("__touched", F.lit(True)), KEY)
+    again = keys.where("__touched").select(*REFERENCE)
+    fresh = refs.exceptAll(known.select(*REFERENCE))
+    judged = probe(again.unionByName(fresh), after.read("parents", touched | asked))
+    kept = keys.where("__touched is null").select(*REFERENCE, "kind")
+    inside = F.pmod(F.xxhash64(*KEY), F.lit(BUCKETS)).cast("int").cast("string").isin(*sorted(touched)) if touched else F.lit(False)
+    put("judged", judged.unionByName(kept.where(inside)), touched)
+    return OrphanState(state.spark, folders)

@@ -62,6 +62,10 @@ def p1_failed_casts(spark: SparkSession, root: str) -> DataFrame:
     return out.select("feed", "file_no", F.explode("failed_casts").alias("field")).groupBy("feed", "file_no", "field").agg(F.count(F.lit(1)).alias("failed"))
 
 
+#: Where the references are cut into two batches.
+HALFWAY = "2024-01-01"
+
+
 def _references(spark: SparkSession, root: str) -> DataFrame:
     midnight = lambda c: F.try_to_timestamp(F.trim(F.col(c)), F.lit("yyyy-MM-dd")).cast("timestamp_ntz")
     month = lambda c: F.substring(F.trim(F.col(c)), 1, 7)
@@ -92,16 +96,27 @@ def _parents(spark: SparkSession, root: str) -> DataFrame:
     return members.unionByName(ministries)
 
 
+def _advanced(spark: SparkSession, root: str) -> orphans.OrphanState:
+    """The state in two steps: parents as they were entered with the references so far, then the withdrawals with the later references."""
+    refs, rows = _references(spark, root), staged(_parents(spark, root).distinct(), "p2-rows")
+    early = F.coalesce(F.col("at") < F.lit(HALFWAY), F.lit(True))
+    entered = rows.withColumn("end", F.lit(None).cast("timestamp_ntz"))
+    # A withdrawal is the row again with its end; rows entered at the same moment under the same key come with it, as it replaces them all.
+    gone = rows.where("end is not null").select("target", "ref_value", F.col("start").alias("__start")).distinct()
+    same = [rows["target"] == gone["target"], rows["ref_value"] == gone["ref_value"], rows["start"].eqNullSafe(gone["__start"])]
+    state = orphans.advance(None, refs.where(early), entered)
+    return orphans.advance(state, refs.where(~early), rows.join(gone, same, "left_semi"))
+
+
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
     """Every reference of which no target row stands at its time."""
-    state = orphans.advance(None, _references(spark, root), _parents(spark, root))
+    state = _advanced(spark, root)
     return state.pending.select("source_table", "period", "row_key", "ref_field", "ref_value", "kind").distinct()
 
 
 def p2_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """Orphans by table, field, month and kind."""
-    state = orphans.advance(None, _references(spark, root), _parents(spark, root))
-    return state.snapshot()
+    return _advanced(spark, root).snapshot()
 
 
 def p2_batches(spark: SparkSession, root: str) -> DataFrame:
@@ -164,7 +179,25 @@ with refs as (
 )
 """
 
+_P2B = _P2[: _P2.index("), judged as")] + """
+), cuts as (select * from (values (1, timestamp '2021-01-01'), (2, timestamp '2024-01-01'), (3, null)) v(batch, high)),
+judged as (
+  select r.source_table, r.period, r.row_key, r.ref_field, r.ref_value, r.seen_at, batch,
+         count(p.target) as n,
+         coalesce(bool_or(p.target is not null and (r.seen_at is null or ((p.s is null or p.s <= r.seen_at) and (p.e is null or p.e > r.seen_at)))), false) as stands,
+         coalesce(bool_or(p.target is not null and (p.s is null or p.s <= r.seen_at)), false) as begun
+  from cuts join (select distinct * from refs where ref_value <> '') r on high is null or r.seen_at is null or r.seen_at < high
+  left join parents p on p.target = r.target and p.ref_value = r.ref_value and (high is null or p.s is null or p.s < high)
+  group by all
+), cases as (
+  select distinct batch, source_table, period, row_key, ref_field, ref_value, seen_at,
+         case when n = 0 then 'missing' when not begun then 'late' else 'deleted' end as kind
+  from judged where not stands
+)
+"""
+
 ORACLES = {
     "p2_found": _P2 + "select distinct source_table, period, row_key, ref_field, ref_value, kind from cases",
+    "p2_batches": _P2B + "select source_table, ref_field, period, kind, count(*) as orphans, batch from cases group by all",
     "p2_snapshot": _P2 + "select source_table, ref_field, period, kind, count(*) as orphans from cases group by all",
 }

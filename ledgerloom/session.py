@@ -12,6 +12,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "ledgerloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -76,6 +77,23 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def staged_by(df: DataFrame, column: str, name: str) -> dict:
+    """``df`` written as one folder for each value of ``column`` (which is left out): value as text -> folder.
+
+    Rows are rebalanced by value: small ones share a task, and one that holds a third of all rows is cut by size into several.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.hint("rebalance", F.col(column)).write.mode("overwrite").partitionBy(column).parquet(path)
+    if not _STAGED:
+        atexit.register(release, spark)
+    _STAGED.append(path)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    listed = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(where)
+    folders = [f.getPath().getName() for f in listed if f.isDirectory()]
+    return {f.split("=", 1)[1]: f"{path}/{f}" for f in folders if f.startswith(f"{column}=")}
+
+
 def release(spark: SparkSession) -> None:
     """Deletes the tables staged so far: to be called once the results that read them are written. Also done as the process ends."""
     context = spark.sparkContext

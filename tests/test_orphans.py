@@ -91,3 +91,23 @@ def test_lookup_join_salted_equals_broadcast(spark):
     for how in ("left", "inner", "left_anti", "left_semi"):
         a = sorted(map(str, lookup_join(facts, lookup, ["k"], how).select("i").collect()))
         assert a == sorted(map(str, lookup_join(facts, lookup, ["k"], how, broadcast_rows=0, salts=5).select("i").collect()))
+
+
+def test_a_batch_leaves_other_buckets_alone(spark):
+    rr = [(str(i), f"k{i % 40}", 5) for i in range(200)]
+    before = orphans.advance(None, refs(spark, *rr), parents(spark, *[(f"k{i}", 0, None) for i in range(0, 40, 2)]))
+    after = orphans.advance(before, refs(spark, ("900", "k3", 5), ("0", "k0", 5)), parents(spark, ("k1", 1, None)))
+    own = lambda k: next(iter(orphans._buckets_of(parents(spark, (k, 0, None)))))
+    for part in ("rows", "parents"):
+        assert {b for b in after.folders[part] if after.folders[part][b] != before.folders[part].get(b)} == {own("k1")}
+    changed = {b for b in after.folders["judged"] if after.folders["judged"][b] != before.folders["judged"].get(b)}
+    assert changed <= {own("k1"), own("k3"), own("k0")} and own("k1") in changed
+    assert after.settled.count() + after.pending.count() == 201
+    assert kinds(after) == {str(i): "missing" for i in range(200) if i % 2 and i % 40 != 1} | {"900": "missing"}
+
+
+def test_a_repeated_reference_counts_once_over_batches(spark):
+    state = orphans.advance(None, refs(spark, ("1", "a", 5), ("1", "a", 5)), parents(spark))
+    state = orphans.advance(state, refs(spark, ("1", "a", 5), ("2", "a", None)), parents(spark).limit(0))
+    state = orphans.advance(state, refs(spark, ("1", "a", 5), ("2", "a", None)), parents(spark, ("b", 1, None)))
+    assert [r.orphans for r in state.snapshot().collect()] == [2]
