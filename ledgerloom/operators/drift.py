@@ -1,7 +1,8 @@
 """Schemas that drift between files: profile every file, name every change, project one typed table.
 
 Rows are loaded as path-value entries with the raw JSON kind of each value; statistics by (feed, file, path, kind) are
-aggregated with map-side combine, so what reaches the sequential part is a few rows per file whatever the files' sizes.
+aggregated with map-side combine, so what reaches the sequential part is a few rows per file whatever the files' sizes - and of a
+run of files with one schema only the first and the last, so that a feed of very many files is no large group.
 
 Edge cases. A null payload, one that is no JSON object, is cut short, has text after the object or repeats a key is
 unreadable: it counts in ``unreadable`` of ``project_unified`` and nowhere else. A file without a readable payload gives no
@@ -18,6 +19,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ledgerloom.session import staged
 
 KINDS = ("string", "number", "boolean", "array", "object")
 
@@ -66,7 +70,7 @@ def path_values(
 def path_stats(values: DataFrame) -> DataFrame:
     """Statistics of path-value rows by feed, file_no, path and kind.
 
-    n values; mean length and mean shares of digits, letters and white space; heads and tails: the least and the greatest
+    n values; whole, those that are whole numbers; mean length and mean shares of digits, letters and white space; heads and tails: the least and the greatest
     first and last eight characters with digits masked, which tell one kind of value from another.
     """
     t = F.col("text")
@@ -75,6 +79,7 @@ def path_stats(values: DataFrame) -> DataFrame:
     share = lambda pattern: F.avg((F.length(t) - F.length(F.regexp_replace(t, pattern, ""))) / n)
     return values.groupBy("feed", "file_no", "path", "kind").agg(
         F.count(F.lit(1)).alias("n"),
+        F.count_if(t.rlike(r"^-?[0-9]{1,18}$")).alias("whole"),
         F.avg(F.length(t).cast("double")).alias("length"),
         share("[0-9]").alias("digits"),
         share(r"\p{L}").alias("letters"),
@@ -189,6 +194,24 @@ def feed_changes(stats: pd.DataFrame, least: float = 0.5) -> Iterator[tuple]:
         last = now
 
 
+def runs(stats: DataFrame) -> DataFrame:
+    """feed, file_no, run and ends: runs of files of a feed that have the same paths and kinds; a run is named by its first file.
+
+    ``ends`` is true for a run's first and last file: all that comparing a file with the one before it needs, values' statistics included.
+    """
+    marks = stats.groupBy("feed", "file_no").agg(F.bit_xor(F.xxhash64("path", F.coalesce("kind", F.lit("")))).alias("mark"), F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("feed").orderBy("file_no")
+    one = F.struct("mark", "n")
+    begins, finishes = ~one.eqNullSafe(F.lag(one).over(order)), ~one.eqNullSafe(F.lead(one).over(order))
+    placed = marks.withColumn("begins", begins).withColumn("finishes", finishes)
+    run = F.max(F.when(F.col("begins"), F.col("file_no"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return placed.select("feed", "file_no", run.alias("run"), (F.col("begins") | F.col("finishes")).alias("ends"))
+
+
+def _ends(stats: DataFrame, own: DataFrame) -> DataFrame:
+    return stats.join(own.where("ends").select("feed", "file_no"), ["feed", "file_no"], "left_semi")
+
+
 CHANGES = "feed string, file_no bigint, field string, key string, change string, was string, now string"
 CHANGE_COLUMNS = [c.split()[0] for c in CHANGES.split(", ")]
 
@@ -197,14 +220,14 @@ def schema_changes(stats: DataFrame, least: float = 0.5) -> DataFrame:
     """Every change of every feed: feed, file_no, field, key, change (added, removed, renamed, retyped), was, now.
 
     Works on ``path_stats`` of top-level paths. A feed's files must be walked in order, so each feed is one group of a few
-    rows per file; records never enter it.
+    rows for each change of its schema; records and files without a change never enter it.
     """
 
     def walk(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         rows = [(key[0], *x) for x in feed_changes(part, least)]
         return pd.DataFrame(rows, columns=CHANGE_COLUMNS)
 
-    return stats.groupBy("feed").applyInPandas(walk, CHANGES)
+    return _ends(stats, runs(stats)).groupBy("feed").applyInPandas(walk, CHANGES)
 
 
 FIELD_KEYS = "feed string, file_no bigint, keys map<string,string>"
@@ -229,17 +252,40 @@ def field_keys(stats: DataFrame, least: float = 0.5) -> DataFrame:
             rows.append((key[0], int(file_no), dict(names)))
         return pd.DataFrame(rows, columns=["feed", "file_no", "keys"])
 
-    return stats.groupBy("feed").applyInPandas(walk, FIELD_KEYS)
+    own = staged(runs(stats), "drift-runs")
+    told = _ends(stats, own).groupBy("feed").applyInPandas(walk, FIELD_KEYS)
+    return own.select("feed", "file_no", "run").join(told.withColumnRenamed("file_no", "run"), ["feed", "run"]).select("feed", "file_no", "keys")
+
+
+#: Part of the feeds a field must occur in to have a column; the rest is kept in ``rest``.
+COLUMN_FEEDS = 0.01
+
+
+def unified_types(stats: DataFrame, keys: DataFrame, least: float = COLUMN_FEEDS) -> dict[str, str]:
+    """The columns of the one table: field -> Spark type, by field; decided by the statistics of all files alone.
+
+    A field has the type of the kind most of its values are of (string before others on a tie): string; bigint where all its numbers are whole,
+    else double; boolean; an array of its elements' texts; an object as its JSON text. What does not convert is reported by ``project_unified``.
+    """
+    by_key = keys.select("feed", "file_no", F.explode("keys").alias("field", "path"))
+    own = stats.where("kind is not null").join(by_key, ["feed", "file_no", "path"]).groupBy("field", "kind").agg(F.sum("n").alias("n"), F.sum("whole").alias("whole"), F.count_distinct("feed").alias("feeds"))
+    feeds = keys.agg(F.count_distinct("feed").alias("all"))
+    rank = F.struct("n", (F.col("kind") == "string").alias("s"), "kind")
+    said = own.groupBy("field").agg(F.max("feeds").alias("feeds"), F.max_by(F.struct("kind", (F.col("whole") == F.col("n")).alias("whole")), rank).alias("t"))
+    kind = {"string": "string", "boolean": "boolean", "array": "array<string>", "object": "string"}
+    rows = said.join(F.broadcast(feeds)).where(F.col("feeds") >= F.col("all") * least).select("field", "t.kind", "t.whole").collect()  # one row a column
+    return {r.field: kind.get(r.kind) or ("bigint" if r.whole else "double") for r in sorted(rows)}
 
 
 def project_unified(
     files: DataFrame, fields: dict[str, str], keys: DataFrame, feed: str = "feed", file_no: str = "file_no", payload: str = "payload"
 ) -> DataFrame:
-    """All records under one schema: feed, file_no, the typed ``fields``, failed_casts, unreadable, rest.
+    """All records under one schema: feed, file_no, the typed ``fields``, failed_casts, unreadable, rest, failed_values.
 
-    ``fields`` maps each field to its Spark type; a value that does not convert is null there and its field is listed in
-    ``failed_casts``; arrays and objects convert to ``string`` as their JSON text. ``rest`` maps every other key to its
-    text, so no value is lost. ``keys`` is the result of ``field_keys``: a row per file, joined by its key.
+    ``fields`` maps each field to its Spark type (see ``unified_types``); a value that does not convert is null there and its field is listed in
+    ``failed_casts``; arrays and objects convert to ``string`` as their JSON text, and to ``array<string>`` as their elements' texts. ``rest`` maps
+    every other key to its text and ``failed_values`` each field that did not convert to its own, so no value is lost. ``keys`` is the result of
+    ``field_keys``: a row per file, joined by its key.
     """
     raw = files.select(
         F.col(feed).alias("feed"),
@@ -248,8 +294,11 @@ def project_unified(
     )
     joined = raw.join(keys.select("feed", "file_no", F.col("keys").alias("__keys")), ["feed", "file_no"], "left")
     text = {f: F.col("__map")[F.coalesce(F.col("__keys")[f], F.lit(f))] for f in fields}
-    typed = [text[f].try_cast(t).alias(f) for f, t in fields.items()]
-    failed = F.array_compact(F.array(*[F.when(text[f].isNotNull() & text[f].try_cast(t).isNull(), F.lit(f)) for f, t in fields.items()]))
+    # Only text that is an array is read as one; any other value fails.
+    cast = {f: F.when(text[f].startswith("["), F.from_json(text[f], t)) if t.startswith("array") else text[f].try_cast(t) for f, t in fields.items()}
+    typed = [cast[f].alias(f) for f in fields]
+    failed = F.array_compact(F.array(*[F.when(text[f].isNotNull() & cast[f].isNull(), F.lit(f)) for f in fields]))
     named = F.array(*[F.coalesce(F.col("__keys")[f], F.lit(f)) for f in fields])
     rest = F.map_filter(F.col("__map"), lambda k, v: ~F.array_contains(named, k))
-    return joined.select("feed", "file_no", *typed, failed.alias("failed_casts"), F.col("__map").isNull().alias("unreadable"), rest.alias("rest"))
+    lost = F.array_compact(F.array(*[F.when(text[f].isNotNull() & cast[f].isNull(), F.struct(F.lit(f), text[f])) for f in fields]))
+    return joined.select("feed", "file_no", *typed, failed.alias("failed_casts"), F.col("__map").isNull().alias("unreadable"), rest.alias("rest"), F.map_from_entries(lost).alias("failed_values"))

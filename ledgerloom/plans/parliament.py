@@ -9,28 +9,6 @@ from ledgerloom.operators import drift, orphans
 from ledgerloom.session import staged
 from ledgerloom.sources.tables import table
 
-# The unified schema of the question records (top-level fields and their types).
-QUESTION_FIELDS = {
-    "quesNo": "bigint",
-    "lokNo": "string",
-    "sessionNo": "string",
-    "date": "string",
-    "type": "string",
-    "subjects": "string",
-    "ministry": "string",
-    "member": "string",
-    "supplementaryType": "boolean",
-    "questionText": "string",
-    "answerText": "string",
-    "answerTextHindi": "string",
-    "supplementaryQuestionResDtoList": "string",
-    "questionsFilePath": "string",
-    "questionsFilePathHindi": "string",
-    "questionsDocPath": "string",
-    "questionsDocPathHindi": "string",
-}
-
-
 def _stats(spark: SparkSession, root: str) -> DataFrame:
     return staged(drift.path_stats(drift.path_values(table(spark, root, "shared_ques_no_files"))), "drift-stats")
 
@@ -46,19 +24,20 @@ def p1_path_stats(spark: SparkSession, root: str) -> DataFrame:
     return values.groupBy("feed", "file_no", "path", F.coalesce("kind", F.lit("null")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _unified(spark: SparkSession, root: str) -> DataFrame:
+    stats = _stats(spark, root)
+    keys = staged(drift.field_keys(stats), "drift-keys")
+    return drift.project_unified(table(spark, root, "shared_ques_no_files"), drift.unified_types(stats, keys), keys)
+
+
 def p1_unified(spark: SparkSession, root: str) -> DataFrame:
     """All records in one typed table, with the fields whose value did not convert."""
-    files = table(spark, root, "shared_ques_no_files")
-    keys = staged(drift.field_keys(_stats(spark, root)), "drift-keys")
-    out = drift.project_unified(files, QUESTION_FIELDS, keys)
-    return out.withColumn("failed_casts", F.array_join("failed_casts", ",")).withColumn("rest", F.to_json("rest"))
+    return _unified(spark, root).withColumn("failed_casts", F.array_join("failed_casts", ",")).withColumn("rest", F.to_json("rest")).withColumn("failed_values", F.to_json("failed_values"))
 
 
 def p1_failed_casts(spark: SparkSession, root: str) -> DataFrame:
     """Failed conversions by feed, file and field."""
-    files = table(spark, root, "shared_ques_no_files")
-    keys = staged(drift.field_keys(_stats(spark, root)), "drift-keys")
-    out = drift.project_unified(files, QUESTION_FIELDS, keys)
+    out = _unified(spark, root)
     return out.select("feed", "file_no", F.explode("failed_casts").alias("field")).groupBy("feed", "file_no", "field").agg(F.count(F.lit(1)).alias("failed"))
 
 
@@ -196,7 +175,16 @@ judged as (
 )
 """
 
+_P1 = """
+with r as (select feed, file_no, payload as j from shared_ques_no_files where payload is not null and regexp_matches(payload, '\\}\\s*$') and json_valid(payload) and json_type(payload) = 'OBJECT'),
+one as (select feed, file_no, e.key as path, e.type as t, e.value as v from r, json_each(r.j) e),
+two as (select feed, file_no, one.path || '.' || e.key as path, e.type as t from one, json_each(one.v) e where one.t = 'OBJECT'),
+every as (select feed, file_no, path, t from one union all select * from two)
+select feed, file_no, path, case t when 'VARCHAR' then 'string' when 'BOOLEAN' then 'boolean' when 'ARRAY' then 'array' when 'OBJECT' then 'object' when 'NULL' then 'null' else 'number' end as kind, count(*) as n from every group by all
+"""
+
 ORACLES = {
+    "p1_path_stats": _P1,
     "p2_found": _P2 + "select distinct source_table, period, row_key, ref_field, ref_value, kind from cases",
     "p2_batches": _P2B + "select source_table, ref_field, period, kind, count(*) as orphans, batch from cases group by all",
     "p2_snapshot": _P2 + "select source_table, ref_field, period, kind, count(*) as orphans from cases group by all",

@@ -1,5 +1,6 @@
 """Schema drift: changes by feed, unified projection, edge cases."""
 
+import random
 import json
 
 import pandas as pd
@@ -76,9 +77,39 @@ def test_unified_projection_reports_failed_casts_and_keeps_the_rest(spark):
     out = drift.project_unified(df, {"no": "int", "s": "string"}, drift.field_keys(stats)).orderBy("file_no").collect()
     assert [(r.no, r.s, r.failed_casts, r.unreadable) for r in out] == [(1, "x", [], False), (None, "y", ["no"], False), (None, None, [], True)]
     assert out[1].rest == {"more": "[1]"}
+    assert out[1].failed_values == {"no": "two"} and out[0].failed_values == {}
 
 
 def test_name_likeness_orders_sensibly():
     assert drift.name_likeness("quesNo", "ques_no") == 1.0
     assert drift.name_likeness("quesNo", "quesNumber") > drift.name_likeness("quesNo", "sessionName")
     assert list(drift.feed_changes(pd.DataFrame({"file_no": [], "path": [], "kind": []}))) == []
+
+
+def test_types_come_from_the_statistics(spark):
+    feed = [(1, [{"no": 1, "x": 1.5, "t": "a", "l": ["p", 2], "b": True}, {"no": 2, "x": 2, "t": "b", "l": []}]), (2, [{"no": "3", "x": "y", "t": 7, "l": "none", "b": False}, {"new": {"k": 1}}])]
+    df = files(spark, feed)
+    stats = drift.path_stats(drift.path_values(df))
+    keys = drift.field_keys(stats)
+    types = drift.unified_types(stats, keys)
+    assert types == {"no": "bigint", "x": "double", "t": "string", "l": "array<string>", "b": "boolean", "new": "string"}
+    rows = drift.project_unified(df, types, keys).orderBy("file_no", "no").collect()
+    last = [r for r in rows if r.no == 3][0]
+    assert sorted(last.failed_casts) == ["l", "x"] and last.failed_values == {"x": "y", "l": "none"} and last.t == "7"
+    assert [r.l for r in rows if r.no in (1, 2)] == [["p", "2"], []] and [r.new for r in rows if r.new] == ['{"k":1}']
+    assert drift.unified_types(stats, keys, least=1.1) == {}
+
+
+def test_runs_of_equal_files_change_nothing(spark):
+    rnd = random.Random(3)
+    feed, keys = [], ["a", "b", "colour"]
+    for n in range(1, 60):
+        if rnd.random() < 0.25:
+            keys = rnd.sample(["a", "b", "colour", "Colour", "size", "b_name"], rnd.randint(1, 5))
+        feed.append((n, [{k: (n if k == "a" else f"v{n}") if rnd.random() < 0.97 else None for k in keys}]))
+    stats = drift.path_stats(drift.path_values(files(spark, feed)))
+    want = sorted(drift.feed_changes(stats.toPandas()), key=str)
+    got = sorted((tuple(r)[1:] for r in drift.schema_changes(stats).collect()), key=str)
+    assert got == want and len(want) > 10
+    assert drift.runs(stats).where("ends").count() < 59
+    assert drift.field_keys(stats).count() == 59
