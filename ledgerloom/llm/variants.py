@@ -219,7 +219,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _linked(links: pd.DataFrame, least: float) -> dict:
-    """``linkage_rounds`` over one component in memory: node -> cluster, from rows a, b, likeness, wa, wb."""
+    """``linkage_rounds`` over whole components in memory: node -> cluster, from rows a, b, likeness, wa, wb."""
     size: dict[int, float] = {}
     sums: dict[int, dict[int, float]] = {}
     for a, b, s, wa, wb in links.itertuples(index=False):
@@ -275,7 +275,9 @@ def average_linkage(nodes: DataFrame, links: DataFrame, least: float = LINKAGE,
     def cluster(part: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(list(_linked(part[["a", "b", "likeness", "wa", "wb"]], least).items()), columns=["node", "cluster"])
 
-    done = own.groupBy("component").applyInPandas(cluster, "node bigint, cluster bigint")
+    # Components do not touch, so one call takes many small ones: as many groups as keep each at about SMALL links.
+    groups = max(2 * nodes.sparkSession.sparkContext.defaultParallelism, -(-placed.count() // SMALL))
+    done = own.groupBy(F.pmod(F.xxhash64("component"), F.lit(groups))).applyInPandas(cluster, "node bigint, cluster bigint")
     if not large.isEmpty():
         inside = part.join(large, "component", "left_semi").select("node")
         done = done.unionByName(linkage_rounds(nodes.join(inside, "node", "left_semi"), placed.join(large, "component", "left_semi").drop("component"), least))
