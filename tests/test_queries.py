@@ -44,12 +44,15 @@ def test_query_equals_sql(spark, small, duck, name):
 
 @pytest.mark.parametrize("name", [n for n in WITHOUT if n != "rebuild_written"])
 def test_query_without_sql_runs(spark, small, name):
-    assert QUERIES[name](spark, small).count() >= 0
+    # What must have rows on the smallest tables: all but the reports of what went wrong.
+    assert QUERIES[name](spark, small).count() >= (0 if name in ("p1_failed_casts", "resolve_told_apart") else 1)
 
 
 def test_rebuild_is_written_as_it_is_counted(spark, small):
     counted = {r.set: r.records for r in QUERIES["rebuild_counts"](spark, small).collect()}
-    written = {r.set: r.records for r in QUERIES["rebuild_written"](spark, small).collect()}
+    rows = QUERIES["rebuild_written"](spark, small).collect()
+    assert all(r.ndjson == r.csv == r.manifest for r in rows)
+    written = {r.set: r.ndjson for r in rows}
     assert {k: v for k, v in written.items() if k in counted} == {k: v for k, v in counted.items() if k in written}
     assert written["by-session"] == written["by-ministry"] == counted["questions"]
 
