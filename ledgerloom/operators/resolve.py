@@ -96,6 +96,10 @@ def _ratio(candidate: pd.Series, written: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
+#: As if it were not deterministic: else the filter on the score has it run a second time.
+_ratio = _ratio.asNondeterministic()
+
+
 def near_keys(forms: DataFrame, pool: DataFrame, least: float = RATIO) -> DataFrame:
     """Scope, normalised (of the form), key (of the pool) and score of all pairs with ratio ``least`` or more.
 
@@ -117,7 +121,8 @@ def near_keys(forms: DataFrame, pool: DataFrame, least: float = RATIO) -> DataFr
     low, high = F.greatest(F.col("at") - F.col("parts"), F.lit(0)), F.least(F.col("at") + F.col("parts"), F.col("n") - F.col("size"))
     places = F.when(high >= low, F.sequence(low, high))
     sought = sought.withColumn("place", F.explode(places)).select("scope", "normalised", "m", "i", F.substring("normalised", F.col("place") + 1, F.col("size")).alias("piece"))
-    pairs = sought.distinct().join(pieces, ["scope", "m", "i", "piece"]).select("scope", "normalised", "key").distinct()
+    # Never broadcast: the planner takes either side for as small as the keys, but a key has pieces by the hundred.
+    pairs = sought.distinct().hint("merge").join(pieces, ["scope", "m", "i", "piece"]).select("scope", "normalised", "key").distinct()
     # What is matched stands in order on both sides, so no such pair is more edits apart than it has letters unmatched: told on the JVM first.
     apart = F.floor(F.lit(share) * (F.length("key") + F.length("normalised")) + 1e-9)
     scored = pairs.where(F.levenshtein("key", "normalised") <= apart).withColumn("score", _ratio("key", "normalised"))
@@ -132,13 +137,15 @@ def approximate_tier(forms: DataFrame, pool: DataFrame, margin: float = MARGIN)
     """
     near = near_keys(forms, pool)
     members = pool.where("normalised <> ''").groupBy("scope", F.col("normalised").alias("key")).agg(F.array_sort(F.collect_set("member_id")).alias("ids"))
-    scored = near.join(members, ["scope", "key"])
-    best = scored.groupBy("scope", "normalised").agg(F.max_by(F.struct("score", "ids"), F.struct("score", "key")).alias("best"))
-    with_best = scored.join(best, ["scope", "normalised"])
-    decided = with_best.groupBy("scope", "normalised").agg(
-        F.first("best").alias("best"),
-        F.max(F.when(F.col("ids") != F.col("best.ids"), F.col("score"))).alias("runner_up"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("score") >= F.col("best.score") - margin, F.col("ids")))))).alias("tied"),
+    # Each form's keys in one list, so that pairs are sought and scored once.
+    listed = near.join(members, ["scope", "key"]).groupBy("scope", "normalised").agg(F.collect_list(F.struct("score", "key", "ids")).alias("near"))
+    listed = listed.withColumn("best", F.array_max("near"))
+    decided = listed.select(
+        "scope",
+        "normalised",
+        "best",
+        F.array_max(F.transform(F.filter("near", lambda x: x["ids"] != F.col("best.ids")), lambda x: x["score"])).alias("runner_up"),
+        F.array_sort(F.array_distinct(F.flatten(F.transform(F.filter("near", lambda x: x["score"] >= F.col("best.score") - margin), lambda x: x["ids"])))).alias("tied"),
     )
     close = (F.size("best.ids") == 1) & F.coalesce((F.col("best.score") - F.col("runner_up")) < margin, F.lit(False))
     out = decided.select("scope", "normalised", F.when(close, F.col("tied")).otherwise(F.col("best.ids")).alias("candidates"), F.col("best.score").alias("score"))
@@ -150,31 +157,42 @@ def verdict(candidates: Column) -> Column:
     return F.when(F.size(candidates) == 1, "resolved").when(F.size(candidates) > 1, "ambiguous").otherwise("unresolved")
 
 
+def first_keys(forms: DataFrame, pool: DataFrame) -> DataFrame:
+    """J01-J03 at once: every form with its tokens, and candidates, method and score by the first of the three keys that is in the pool (null without one).
+
+    All keys meet the pool in one join; a form's rows come together once.
+    """
+    keys = lambda df, *names: df.select(*df.columns, F.posexplode(F.array(*names)).alias("__tier", "__key"))
+    side = keys(pool, "written", "normalised", "reordered").where("__key <> ''").select("scope", "__tier", "__key", "member_id").distinct()
+    met = keys(forms, "form", "normalised", "reordered").join(side, ["scope", "__tier", "__key"], "left")
+    hit = F.when(F.col("member_id").isNotNull(), F.struct(F.col("__tier").alias("tier"), "member_id"))
+    each = met.groupBy("scope", "form").agg(F.first("normalised").alias("normalised"), F.first("tokens").alias("tokens"), F.array_sort(F.collect_set(hit)).alias("hits"))
+    first = F.try_element_at("hits", F.lit(1))["tier"]
+    candidates = F.transform(F.filter("hits", lambda x: x["tier"] == first), lambda x: x["member_id"])
+    return each.select(
+        "scope", "form", "normalised", "tokens", F.when(first.isNotNull(), candidates).alias("candidates"), F.get(F.array(*[F.lit(t) for t in TIERS[:3]]), first).alias("method"), F.when(first.isNotNull(), 1.0).otherwise(0.0).alias("score"),
+    )
+
+
 def cascade(forms: DataFrame, pool: DataFrame, approximate: bool = True, containment: bool = True) -> DataFrame:
     """Scope, form, status, method, member_id, candidates, score of each distinct form.
 
     ``forms`` is a result of ``distinct_forms``, ``pool`` of ``pool_keys``. Tiers run in order on what is still unmatched; containment
     may only turn a form that is not resolved into a resolved one.
+
+    Each step is staged for the next and carries what that needs, so no plan holds an earlier tier's: the driver plans anew after every stage.
     """
     none = F.array().cast("array<string>")
-    forms, pool = staged(forms, "resolve-forms"), staged(pool, "resolve-pool")  # read once, however many tiers look at them
-    left, parts = forms, []
-    for method, (form_key, pool_key) in zip(TIERS[:3], (("form", "written"), ("normalised", "normalised"), ("reordered", "reordered")), strict=True):
-        # Staged, as each tier's hits are read again by every tier after it.
-        hit = staged(key_tier(left, pool, form_key, pool_key).select("scope", "form", "candidates", F.lit(method).alias("method"), F.lit(1.0).alias("score")), f"resolve-{method}")
-        parts.append(hit)
-        left = left.join(hit, ["scope", "form"], "left_anti")
+    pool = staged(pool, "resolve-pool")  # read once, however many tiers look at it
+    out = staged(first_keys(forms, pool), "resolve-keys")
     if approximate:
-        hit = staged(approximate_tier(left, pool), "resolve-near").select("scope", "form", "candidates", F.lit(TIERS[3]).alias("method"), "score")
-        parts.append(hit)
-        left = left.join(hit, ["scope", "form"], "left_anti")
-    parts.append(left.select("scope", "form", none.alias("candidates"), F.lit(None).cast("string").alias("method"), F.lit(0.0).alias("score")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    out = out.withColumn("status", verdict(F.col("candidates")))
+        near = approximate_tier(out.where("candidates is null"), pool).select("scope", "form", F.col("candidates").alias("__near"), F.col("score").alias("__score"))
+        kept = out.join(near, ["scope", "form"], "left")
+        method = F.when(F.col("__near").isNotNull(), TIERS[3]).otherwise(F.col("method"))
+        out = staged(kept.select("scope", "form", "tokens", F.coalesce("__near", "candidates").alias("candidates"), method.alias("method"), F.coalesce("__score", "score").alias("score")), "resolve-near")
+    out = out.withColumn("candidates", F.coalesce("candidates", none)).withColumn("status", verdict(F.col("candidates")))
     if containment:
-        open_forms = forms.join(out.where("status <> 'resolved'").select("scope", "form"), ["scope", "form"], "left_semi")
+        open_forms = out.where("status <> 'resolved'").select("scope", "form", "tokens")
         held = containment_tier(open_forms, pool).where(F.size("candidates") == 1).select("scope", "form", F.col("candidates").alias("__held"))
         out = out.join(held, ["scope", "form"], "left")
         up = F.col("__held").isNotNull()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import canon
 from ledgerloom.operators import resolve
+from ledgerloom.session import staged
 
 POOL = [
     ("17", "m1", "Rujil Jovan Kakunos"),
@@ -163,3 +164,39 @@ def test_told_apart(spark, statuses):
 def test_canon_of_honorific_only(spark):
     assert spark.range(1).select(canon(F.lit("Shri Dr."))).first()[0] == ""
     assert run(spark, ["Shri Dr."])["Shri Dr."].status == "unresolved"
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pieces_of_keys_are_never_broadcast(spark):
+    names = [f"velu tonoz{chr(97 + i % 26)}{chr(97 + i // 26)} rand" for i in range(300)]
+    f = resolve.distinct_forms(spark.createDataFrame([("s", x + "i") for x in names], "scope string, form string"))
+    p = resolve.pool_keys(spark.createDataFrame([("s", f"m{i}", x) for i, x in enumerate(names)], "scope string, member_id string, written string"))
+    # As small as they are before they are cut, the planner would send all pieces to the driver.
+    near = resolve.near_keys(staged(f), staged(p))
+    assert "SortMergeJoin" in _plan(near) and "BroadcastExchange" not in _plan(near)
+    assert near.where("normalised = concat(key, 'i')").count() == len(names)
+
+
+def test_pairs_are_scored_once(spark):
+    f = resolve.distinct_forms(spark.createDataFrame([("s", "Tono Ziar Veluu")], "scope string, form string"))
+    p = resolve.pool_keys(spark.createDataFrame([("s", "a", "Tono Ziar Velu"), ("s", "b", "Tono Ziar Velo")], "scope string, member_id string, written string"))
+    tier = resolve.approximate_tier(staged(f), staged(p))
+    assert tier._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert [(r.candidates, round(r.score, 4)) for r in tier.collect()] == [(["a"], 0.9655)]
+
+
+def test_first_key_decides_with_all_its_members(spark):
+    pool = [("s", "b", "Tono Ziar"), ("s", "a", "Tono Ziar"), ("s", "c", "TONO ZIAR"), ("s", "d", "Ziar Tono"), ("t", "e", "Tono Ziar")]
+    f = spark.createDataFrame([("s", x) for x in ("Tono Ziar", "tono ziar.", "Mr. Ziar, Tono", "...", "Ziar")], "scope string, form string")
+    p = spark.createDataFrame(pool, "scope string, member_id string, written string")
+    got = {r.form: (r.candidates, r.method) for r in resolve.first_keys(resolve.distinct_forms(f), resolve.pool_keys(p)).collect()}
+    assert got == {
+        "Tono Ziar": (["a", "b"], "exact"),
+        "tono ziar.": (["a", "b", "c"], "normalised"),
+        "Mr. Ziar, Tono": (["d"], "normalised"),
+        "...": (None, None),
+        "Ziar": (None, None),
+    }
