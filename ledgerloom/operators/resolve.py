@@ -114,15 +114,18 @@ def near_keys(forms: DataFrame, pool: DataFrame, least: float = RATIO) -> DataFr
     start = lambda i: F.floor(i * F.col("m") / F.col("parts")).cast("int")
     pieces = cut.select("scope", "key", "m", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"))
     pieces = pieces.select("scope", "key", "m", "i", F.substring("key", start(F.col("i")) + 1, start(F.col("i") + 1) - start(F.col("i"))).alias("piece"))
-    written = forms.where("normalised <> ''").select("scope", "normalised").distinct().withColumn("n", F.length("normalised"))
+    # A number of tasks of its own: adaptive execution would give all forms to one, and each is cut into hundreds of pieces.
+    tasks = max(2 * forms.sparkSession.sparkContext.defaultParallelism, int(forms.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    written = forms.where("normalised <> ''").select("scope", "normalised").repartition(tasks, "scope", "normalised").distinct().withColumn("n", F.length("normalised"))
     lengths = F.sequence(F.greatest(F.ceil(F.col("n") * most - 1e-9).cast("int"), F.lit(1)), F.floor(F.col("n") / most + 1e-9).cast("int"))
     sought = written.select("scope", "normalised", "n", F.explode(lengths).alias("m")).withColumn("parts", F.least(errors(F.col("m")) + 1, F.col("m")))
     sought = sought.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("at", start(F.col("i"))).withColumn("size", start(F.col("i") + 1) - start(F.col("i")))
     low, high = F.greatest(F.col("at") - F.col("parts"), F.lit(0)), F.least(F.col("at") + F.col("parts"), F.col("n") - F.col("size"))
     places = F.when(high >= low, F.sequence(low, high))
-    sought = sought.withColumn("place", F.explode(places)).select("scope", "normalised", "m", "i", F.substring("normalised", F.col("place") + 1, F.col("size")).alias("piece"))
+    cut_out = F.array_distinct(F.transform(places, lambda p: F.substring(F.col("normalised"), p + 1, F.col("size"))))
+    sought = sought.select("scope", "normalised", "m", "i", F.explode(cut_out).alias("piece"))
     # Never broadcast: the planner takes either side for as small as the keys, but a key has pieces by the hundred.
-    pairs = sought.distinct().hint("merge").join(pieces, ["scope", "m", "i", "piece"]).select("scope", "normalised", "key").distinct()
+    pairs = sought.hint("merge").join(pieces, ["scope", "m", "i", "piece"]).select("scope", "normalised", "key").distinct()
     # What is matched stands in order on both sides, so no such pair is more edits apart than it has letters unmatched: told on the JVM first.
     apart = F.floor(F.lit(share) * (F.length("key") + F.length("normalised")) + 1e-9)
     scored = pairs.where(F.levenshtein("key", "normalised") <= apart).withColumn("score", _ratio("key", "normalised"))

@@ -7,6 +7,7 @@ counted as it is written.
 from __future__ import annotations
 
 import functools
+import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -149,19 +150,28 @@ def rebuild_counts(spark: SparkSession, root: str) -> DataFrame:
     return out
 
 
+def read_back(spark: SparkSession, path: str, sets: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of each set written under ``path``, told by its file: (set, ndjson) and (set, csv); none for a set without rows.
+
+    One scan for each format, so the plan is as small for many sets as for one.
+    """
+    told = F.regexp_extract(F.col("_metadata.file_path"), re.escape(path.rstrip("/").rsplit("/", 1)[-1]) + "/([^/]+)/", 1).alias("set")
+    reader = spark.read.option("recursiveFileLookup", "true")
+    lines = reader.text([f"{path}/{name}/ndjson" for name in sets])
+    # The columns differ by set and none is read: only rows are told from each other.
+    rows = reader.options(**publish.CSV).option("multiLine", "true").schema("value string").csv([f"{path}/{name}/csv" for name in sets])
+    return tuple(df.select(told).groupBy("set").agg(F.count(F.lit(1)).alias(kind)) for df, kind in ((lines, "ndjson"), (rows, "csv")))
+
+
 def rebuild_written(spark: SparkSession, root: str) -> DataFrame:
     """A full rebuild written in both formats and read back: set, records in each, and as the manifest has them."""
     path = f"{shared_dir(spark)}/published-{uuid.uuid4().hex}"
     content = write(spark, build(spark, root), path, "2026-01-01T00:00:00Z")
-    out = None
-    for name, said in content["sets"].items():
-        if name == "questions":
-            continue
-        lines = spark.read.text(f"{path}/{name}/ndjson").agg(F.count(F.lit(1)).alias("ndjson"))
-        rows = spark.read.options(**publish.CSV).option("multiLine", "true").csv(f"{path}/{name}/csv").agg(F.count(F.lit(1)).alias("csv"))
-        one = lines.join(F.broadcast(rows)).select(F.lit(name).alias("set"), "ndjson", "csv", F.lit(said["records"]).cast("bigint").alias("manifest"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    said = {name: one["records"] for name, one in content["sets"].items() if name != "questions"}
+    lines, rows = read_back(spark, path, list(said))
+    out = spark.createDataFrame(list(said.items()), "set string, manifest bigint").join(lines, "set", "left").join(rows, "set", "left")
+    none = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return out.select("set", none("ndjson"), none("csv"), "manifest")
 
 
 def publish_signals(spark: SparkSession, root: str) -> DataFrame:

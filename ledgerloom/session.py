@@ -74,9 +74,20 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     if not _STAGED:
         atexit.register(release, spark)
     _STAGED.append(path)
+    let_go(spark)
     return spark.read.parquet(path)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Has the driver drop what finished plans left once its heap has grown past half of what it may have.
+
+    Plans and broadcasts of finished steps are garbage, but the heap grows to its limit before it is collected, and does not shrink by itself.
+    """
+    heap = spark._jvm.java.lang.Runtime.getRuntime()
+    if heap.totalMemory() > heap.maxMemory() // 2:
+        spark._jvm.System.gc()
+
+
 def staged_by(df: DataFrame, column: str, name: str) -> dict:
     """``df`` written as one folder for each value of ``column`` (which is left out): value as text -> folder.
 

@@ -7,6 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import aggregates, dimensions, publish, quality, search, views
+from ledgerloom.plans import rebuild
 
 Q = "question_id string, house string, session string, date string, type string, subject string, ministry_id string, asking_members array<string>, resolution_status string"
 
@@ -306,3 +307,14 @@ def test_display(spark):
     parts = one("string", display.question_parts, "h/17/4/s/12", "h/17/4/s/x", "h/17/4", "h/a/4/s/1")
     assert parts[0].number == 12 and parts[1].number is None and parts[1].type == "s" and parts[2] is None and parts[3] is None
     assert one("array<int>", display.terms_phrase, [17, 18], [18], [16, 17, None, 18], [], None) == ["17th and 18th Lok Sabha", "18th Lok Sabha", "16th, 17th and 18th Lok Sabha", "not stated", "not stated"]
+
+
+def test_read_back_counts_each_set_by_its_files(spark, tmp_path):
+    plain = spark.createDataFrame([("a", 'x "y"\nz, w'), ("b", ""), ("c", None)], "id string, text string")
+    parts = spark.createDataFrame([(f"q{i}", f"k{i % 3}") for i in range(10)], "question_id string, axis string")
+    path = str(tmp_path / "made")
+    assert publish.write_both(plain, f"{path}/plain") == 3
+    assert publish.write_both(plain.limit(0), f"{path}/none") == 0
+    assert publish.write_partitions(parts, "axis", f"{path}/by-axis") == 10
+    told = [{r.set: r[1] for r in df.collect()} for df in rebuild.read_back(spark, path, ["plain", "none", "by-axis"])]
+    assert told == [{"plain": 3, "by-axis": 10}] * 2
