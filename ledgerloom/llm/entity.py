@@ -76,10 +76,8 @@ def minhashes(df: DataFrame, pieces: Column, n: int, seed: int, out: str) -> Dat
     """
     base = df.withColumn("__pieces", F.transform(pieces, lambda p: F.xxhash64(p, F.lit(seed))))
 
-    def least(k: int) -> Column:
-        return F.array_min(F.transform("__pieces", lambda h: F.xxhash64(h, F.lit(k))))
-
-    hashed = F.array(*[least(k) for k in range(n)])
+    # One expression, however many hashes: the driver plans anew after every stage.
+    hashed = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.array_min(F.transform("__pieces", lambda h: F.xxhash64(h, k))))
     return base.withColumn(out, hashed).drop("__pieces")
 
 
@@ -89,7 +87,7 @@ def candidates(left_names: DataFrame, right_names: DataFrame) -> DataFrame:
     def banded(df: DataFrame, name: str) -> DataFrame:
         hashed = minhashes(df, names.grams(F.col("tokens")), NAME_BANDS * NAME_ROWS, 1, "h")
         h = F.col("h")
-        bands = F.array(*[F.xxhash64(F.lit(b), *[h[b * NAME_ROWS + r] for r in range(NAME_ROWS)]) for b in range(NAME_BANDS)])
+        bands = F.transform(F.sequence(F.lit(0), F.lit(NAME_BANDS - 1)), lambda b: F.xxhash64(b, *[h[b * NAME_ROWS + r] for r in range(NAME_ROWS)]))
         return hashed.select(F.col("id").alias(name), F.explode(bands).alias("band"))
 
     return banded(left_names, "l").join(banded(right_names, "r"), "band").select("l", "r").distinct()
@@ -102,7 +100,7 @@ def cross_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
         both = minhashes(df.where("seat is not null"), names.grams(F.col("tokens")), CROSS_BANDS * CROSS_NAME, 2, "n")
         both = minhashes(both, names.grams(F.array(_glued(F.col("seat")))), CROSS_BANDS * CROSS_SEAT, 3, "s")
         parts = lambda b: [F.col("n")[b * CROSS_NAME + i] for i in range(CROSS_NAME)] + [F.col("s")[b * CROSS_SEAT + i] for i in range(CROSS_SEAT)]
-        bands = F.array(*[F.xxhash64(F.lit(b), *parts(b)) for b in range(CROSS_BANDS)])
+        bands = F.transform(F.sequence(F.lit(0), F.lit(CROSS_BANDS - 1)), lambda b: F.xxhash64(b, *parts(b)))
         return both.select(F.col("id").alias(name), F.explode(bands).alias("band")).distinct()
 
     return banded(left, "l").join(banded(right, "r"), "band").select("l", "r").distinct()
@@ -313,8 +311,9 @@ def match(
     # Names go by a number while candidates are sought: a pair is then 16 bytes.
     numbered = lambda df, *more: df.select(F.xxhash64("key").alias("id"), "key", "tokens", *more).distinct()
     l_names, r_names = (staged(numbered(df), "entity-names") for df in (l_rows, r_rows))
-    banded = candidates(l_names, r_names).unionByName(cross_candidates(numbered(l_rows, "seat"), numbered(r_rows, "seat"))).withColumn("exact", F.lit(False))
-    pairs = banded.unionByName(token_candidates(l_names, r_names).withColumn("exact", F.lit(True))).groupBy("l", "r").agg(F.max("exact").alias("exact"))
+    # Candidates are sought in two steps and scored in a third, so that none is planned anew with the stages of another.
+    banded = staged(candidates(l_names, r_names).unionByName(cross_candidates(numbered(l_rows, "seat"), numbered(r_rows, "seat"))).withColumn("exact", F.lit(False)), "entity-banded")
+    pairs = staged(banded.unionByName(token_candidates(l_names, r_names).withColumn("exact", F.lit(True))).groupBy("l", "r").agg(F.max("exact").alias("exact")), "entity-pairs")
     side = lambda df, i, k, t: df.select(F.col("id").alias(i), F.col("key").alias(k), F.col("tokens").alias(t))
     pairs = pairs.join(side(l_names, "l", "lk", "lt"), "l").join(side(r_names, "r", "rk", "rt"), "r")
     # A cheap look at the trigrams on the JVM before the tokens are paired off; initials have few, so it is for the bands' pairs only.

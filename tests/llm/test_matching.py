@@ -263,3 +263,13 @@ def test_variants_link_writings_of_one_name(spark):
     pairs = variants.form_pairs(variants.cluster_forms(df))
     assert pairs.count() == 28 + 3 and pairs.where("form_a >= form_b").count() == 0
     assert variants.cluster_forms(df.limit(0)).count() == 0
+
+
+def test_hashes_do_not_swell_the_plan(spark):
+    df = spark.createDataFrame([(1, ["ab", "cd"]), (2, ["q"]), (3, [])], "id long, p array<string>")
+    made = entity.minhashes(df, F.col("p"), 100, 2, "h")
+    size = lambda df: len(df._jdf.queryExecution().analyzed().toJSON())
+    assert size(made) < 2 * size(entity.minhashes(df, F.col("p"), 2, 2, "h"))
+    seeded = df.withColumn("s", F.transform("p", lambda p: F.xxhash64(p, F.lit(2))))
+    each = seeded.select("id", "p", F.array(*[F.array_min(F.transform("s", lambda h: F.xxhash64(h, F.lit(k)))) for k in range(100)]).alias("h"))
+    assert made.collect() == each.collect()
