@@ -318,3 +318,9 @@ def test_read_back_counts_each_set_by_its_files(spark, tmp_path):
     assert publish.write_partitions(parts, "axis", f"{path}/by-axis") == 10
     told = [{r.set: r[1] for r in df.collect()} for df in rebuild.read_back(spark, path, ["plain", "none", "by-axis"])]
     assert told == [{"plain": 3, "by-axis": 10}] * 2
+
+
+def test_counts_of_a_rebuild_hold_no_plan_of_its_sets(spark, small):
+    made = rebuild.rebuild_counts(spark, small)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation" not in plan.replace("LocalRelation", "") and "Aggregate" not in plan
